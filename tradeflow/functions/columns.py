@@ -7,32 +7,27 @@ from pyspark.sql import functions as F
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
-# Width of one millisecond step in the trade order key: above 2^64, so that no
-# two trade ids of neighbouring milliseconds overlap.
-ORDER_STEP = "20000000000000000000"
-LOWEST_ID = -(2**63)
-
-
-def number(text: Column | str) -> Column:
-    """Text as a finite double; NULL for anything else.
-
-    NaN and infinities count as unparsable: Spark orders NaN above every number,
-    so one such price would otherwise satisfy every "at least" threshold.
+def computed_once(df: DataFrame, **expensive: Column) -> DataFrame:
+    """Add columns that later filters read instead of evaluating them again.
+
+    Catalyst moves a filter below a projection and repeats the projected
+    expression in it, once per mention: a filter on three parsed fields parses
+    the text four times. It does not move a filter below a generator, and a
+    generator over one struct yields exactly one row. Columns of the same name
+    are replaced; columns not named here are still pruned.
     """
-    parsed = (F.col(text) if isinstance(text, str) else text).try_cast("double")
-    return F.when(F.abs(parsed) < F.lit(float("inf")), parsed)
+    values = F.struct(*(c.alias(name) for name, c in expensive.items()))
+    kept = [c for c in df.columns if c not in expensive]
+    return df.select(*kept, F.inline(F.array(values)))
 
 
-def trade_order(event_time: str = "event_time", trade_id: str = "trade_id") -> Column:
-    """(event time, trade id) as one sortable decimal.
+def finite(column: str) -> Column:
+    """NULL for NaN and infinities.
 
-    ``min_by``/``max_by`` over a struct need a sort-based aggregate, because a
-    struct cannot live in a hash aggregate's buffer. A decimal can. Missing ids
-    sort first, as they do in a struct.
+    Spark orders NaN above every number, so one such price would otherwise
+    satisfy every "at least" threshold.
     """
-    millis = F.unix_millis(event_time).cast("decimal(15,0)")
-    tie = F.coalesce(F.col(trade_id), F.lit(LOWEST_ID)).cast("decimal(20,0)")
-    return millis * F.lit(ORDER_STEP).cast("decimal(20,0)") + tie
+    return F.when(F.abs(column) < F.lit(float("inf")), F.col(column))
 
 
 def change_pct(of: Column, base: str) -> Column:
@@ -48,3 +43,7 @@ def with_partitions(df: DataFrame, time_column: str) -> DataFrame:
             "hour_bucket": F.date_format(time_column, "HH"),
         }
     )
+
+
+def stream_name(symbol: str = "symbol") -> Column:
+    return F.concat(F.lower(symbol), F.lit("@trade"))

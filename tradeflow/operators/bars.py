@@ -30,7 +30,9 @@ def summarise(silver: DataFrame, length: str) -> DataFrame:
     come out of the same aggregate as the sums, so the trades are shuffled once,
     already combined on the map side. Columns nobody reads are pruned.
     """
-    trade = F.struct("event_time", "trade_id", "price", "quantity")
+    # A computed time carries no watermark mark; a stream may have only one.
+    time = F.timestamp_micros(F.unix_micros("event_time")).alias("event_time")
+    trade = F.struct(time, "trade_id", "price", "quantity")
     return (
         silver.groupBy(F.window("event_time", length).alias("window"), "symbol")
         .agg(

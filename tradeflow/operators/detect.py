@@ -14,10 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.config import Rule, Thresholds
-from tradeflow.functions.columns import number
 from tradeflow.operators.bars import BAR_SEC, BURST_SEC, window_features
 from tradeflow.operators.gaps import gap_ms
-from tradeflow.operators.silver import to_silver
+from tradeflow.operators.silver import to_silver, typed
 from tradeflow.schema import ANOMALY
 
 
@@ -210,13 +209,6 @@ def burst_of_trades(t: Thresholds) -> Finding:
 
 def data_quality(trades: DataFrame) -> DataFrame:
     """Raw trades with a missing, unparsable, zero or negative field."""
-    typed = trades.select(
-        "symbol",
-        "trade_id",
-        "event_time",
-        number("price").alias("price"),
-        number("qty").alias("quantity"),
-    )
     invalid = (
         F.col("symbol").isNull()
         | F.col("price").isNull()
@@ -241,7 +233,7 @@ def data_quality(trades: DataFrame) -> DataFrame:
         quantity=F.col("quantity"),
         details="Invalid/null fields detected",
     )
-    return emit(typed, [Finding(invalid, record)])
+    return emit(typed(trades), [Finding(invalid, record)])
 
 
 FIRST_TRADE = {

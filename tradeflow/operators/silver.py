@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.functions.columns import ISO_MILLIS, number, with_partitions
+from tradeflow.functions.columns import ISO_MILLIS, computed_once, finite, with_partitions
 from tradeflow.schema import PARTITIONS, SILVER, SILVER_PUBLISHED, WIRE_FIELDS
 
 
+def typed(trades: DataFrame) -> DataFrame:
+    """Raw trades with ``price`` and ``quantity`` as numbers, NULL if unparsable."""
+    return computed_once(
+        trades,
+        price=F.col("price").try_cast("double"),
+        quantity=F.col("qty").try_cast("double"),
+    ).withColumns({"price": finite("price"), "quantity": finite("quantity")})
+
+
 def to_silver(trades: DataFrame) -> DataFrame:
     """Raw trades to typed trades.
 
@@ -17,17 +26,14 @@ def to_silver(trades: DataFrame) -> DataFrame:
     negative values stay.
     """
     return (
-        trades.select(
-            "symbol",
-            number("price").alias("price"),
-            number("qty").alias("quantity"),
-            "event_time",
-            F.timestamp_millis("trade_ms").alias("trade_time"),
-            F.col("trade_ms").alias("trade_time_ms"),
-            "is_maker",
-            "trade_id",
-        )
+        typed(trades)
         .where("symbol IS NOT NULL AND price IS NOT NULL AND quantity IS NOT NULL")
+        .withColumns(
+            {
+                "trade_time": F.timestamp_millis("trade_ms"),
+                "trade_time_ms": F.col("trade_ms"),
+            }
+        )
         .select(SILVER.fieldNames())
     )
 

@@ -7,10 +7,13 @@ gives windows dense enough for bars and bursts; even days keep real time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeflow.functions.columns import stream_name
+from tradeflow.sources.trades import envelope_text
+
 DAY_MS = 86_400_000
 SQUEEZE = 20_000
 
@@ -35,6 +38,11 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def _unless_user(user: int, value: Column) -> Column:
+    """Some users' trades lack a field, so that the quality rules have work."""
+    return F.when(F.col("user_id") == user, F.lit(None)).otherwise(value)
+
+
 def trades_from_events(events: DataFrame) -> DataFrame:
     """Raw trades in the internal column names, plus ``event_time``."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -48,9 +56,9 @@ def trades_from_events(events: DataFrame) -> DataFrame:
         .select(
             F.lit("trade").alias("event_kind"),
             "event_ms",
-            F.when(F.col("user_id") != 1, F.upper("event_type")).alias("symbol"),
+            _unless_user(1, F.upper("event_type")).alias("symbol"),
             F.col("event_id").alias("trade_id"),
-            F.when(F.col("user_id") != 0, (100 + F.col("value") / 20).cast("string")).alias("price"),
+            _unless_user(0, (100 + F.col("value") / 20).cast("string")).alias("price"),
             # props is always {"k": <digits>}: a pattern reads it several times
             # faster than a JSON parser
             F.nullif(F.regexp_extract("props", r'^\{"k": (\d+)\}$', 1), F.lit("")).alias("qty"),
@@ -60,3 +68,28 @@ def trades_from_events(events: DataFrame) -> DataFrame:
         )
         .withColumn("event_time", F.timestamp_millis("event_ms"))
     )
+
+
+def envelopes_from_trades(trades: DataFrame) -> DataFrame:
+    """Every trade as an envelope message, damaged for a few quantities."""
+    message, stream = envelope_text(), F.to_json(F.struct(stream_name().alias("stream")))
+    value = (
+        F.when(F.col("qty") == "1", F.substring(message, F.lit(1), F.length(message) - 1))
+        .when(F.col("qty") == "2", stream)
+        .when(F.col("qty") == "3", F.regexp_replace(stream, r"\}$", ',"data":{}}'))
+        .when(F.col("qty") == "4", F.regexp_replace(message, r"\}\}$", ',"x":{"y":[1]}}}'))
+        .otherwise(message)
+    )
+    return trades.select(value.alias("value"))
+
+
+def symbol_lines_from_events(events: DataFrame) -> DataFrame:
+    """(shard, line_no, line): the traded symbols as two untidy symbol lists.
+
+    A symbol's line number is its first event.
+    """
+    return events.groupBy("event_type").agg(F.min("event_id").alias("line_no")).select(
+        F.when(F.col("event_type") < "m", 1).otherwise(2).alias("shard"),
+        "line_no",
+        F.concat(F.lit("  "), F.initcap("event_type"), F.lit("\t ")).alias("line"),
+    )

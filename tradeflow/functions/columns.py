@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
-def computed_once(df: DataFrame, **expensive: Column) -> DataFrame:
-    """Add columns that later filters read instead of evaluating them again.
+def computed_once(df: DataFrame, **expensive: str) -> DataFrame:
+    """Add columns, given as SQL, that later filters read instead of repeating.
 
     Catalyst moves a filter below a projection and repeats the projected
     expression in it, once per mention: a filter on three parsed fields parses
@@ -16,23 +16,9 @@ def computed_once(df: DataFrame, **expensive: Column) -> DataFrame:
     generator over one struct yields exactly one row. Columns of the same name
     are replaced; columns not named here are still pruned.
     """
-    values = F.struct(*(c.alias(name) for name, c in expensive.items()))
-    kept = [c for c in df.columns if c not in expensive]
-    return df.select(*kept, F.inline(F.array(values)))
-
-
-def finite(column: str) -> Column:
-    """NULL for NaN and infinities.
-
-    Spark orders NaN above every number, so one such price would otherwise
-    satisfy every "at least" threshold.
-    """
-    return F.when(F.abs(column) < F.lit(float("inf")), F.col(column))
-
-
-def change_pct(of: Column, base: str) -> Column:
-    """``of`` in percent of ``base``; NULL where the base is zero."""
-    return of / F.nullif(F.col(base), F.lit(0.0)) * 100.0
+    values = ", ".join(f"'{name}', {sql}" for name, sql in expensive.items())
+    kept = [f"`{c}`" for c in df.columns if c not in expensive]
+    return df.selectExpr(*kept, f"inline(array(named_struct({values})))")
 
 
 def with_partitions(df: DataFrame, time_column: str) -> DataFrame:

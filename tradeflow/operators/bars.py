@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.functions.columns import change_pct
-
 BAR = "5 minutes"
 BURST = "5 seconds"
 BAR_SEC = 300
@@ -18,9 +16,11 @@ BAR_COLUMNS = [
 ]
 
 
-def _volume_where(condition: Column) -> Column:
-    # A missing maker flag satisfies neither side.
-    return F.sum(F.when(condition, F.col("quantity")).otherwise(0.0))
+# The time is computed, so that in a stream it carries no second watermark mark.
+_TRADE = (
+    "named_struct('event_time', timestamp_micros(unix_micros(event_time)),"
+    " 'trade_id', trade_id, 'price', price, 'quantity', quantity)"
+)
 
 
 def summarise(silver: DataFrame, length: str) -> DataFrame:
@@ -28,36 +28,26 @@ def summarise(silver: DataFrame, length: str) -> DataFrame:
 
     ``first`` and ``last`` are the extreme trades by (event time, trade id). They
     come out of the same aggregate as the sums, so the trades are shuffled once,
-    already combined on the map side. Columns nobody reads are pruned.
+    already combined on the map side. A trade without a maker flag counts on
+    neither side. Columns nobody reads are pruned.
     """
-    # A computed time carries no watermark mark; a stream may have only one.
-    time = F.timestamp_micros(F.unix_micros("event_time")).alias("event_time")
-    trade = F.struct(time, "trade_id", "price", "quantity")
-    return (
-        silver.groupBy(F.window("event_time", length).alias("window"), "symbol")
-        .agg(
-            F.min("price").alias("low"),
-            F.max("price").alias("high"),
-            F.sum("quantity").alias("volume"),
-            F.count("*").alias("trade_count"),
-            _volume_where(~F.col("is_maker")).alias("buy_volume"),
-            _volume_where(F.col("is_maker")).alias("sell_volume"),
-            F.min(trade).alias("first"),
-            F.max(trade).alias("last"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "*",
-        )
-        .drop("window")
+    summary = silver.groupBy(F.window("event_time", length).alias("window"), "symbol").agg(
+        F.expr("min(price) AS low"),
+        F.expr("max(price) AS high"),
+        F.expr("sum(quantity) AS volume"),
+        F.expr("count(*) AS trade_count"),
+        F.expr("sum(IF(NOT is_maker, quantity, 0D)) AS buy_volume"),
+        F.expr("sum(IF(is_maker, quantity, 0D)) AS sell_volume"),
+        F.expr(f"min({_TRADE}) AS first"),
+        F.expr(f"max({_TRADE}) AS last"),
+    )
+    return summary.selectExpr(
+        "window.start AS window_start", "window.end AS window_end", "* EXCEPT (window)"
     )
 
 
 def with_open_close(summary: DataFrame) -> DataFrame:
-    return summary.withColumns(
-        {"open_price": F.col("first.price"), "close_price": F.col("last.price")}
-    )
+    return summary.selectExpr("*", "first.price AS open_price", "last.price AS close_price")
 
 
 def bars(silver: DataFrame, length: str = BAR) -> DataFrame:
@@ -72,26 +62,25 @@ def bursts(silver: DataFrame, length: str = BURST) -> DataFrame:
 
 def partials(silver: DataFrame, length: str = BURST) -> DataFrame:
     """Five-second windows with their first trade and last time, for gaps."""
-    return summarise(silver, length).select(
+    return summarise(silver, length).selectExpr(
         "window_start",
         "window_end",
         "symbol",
         "trade_count",
         "volume",
-        F.col("first.event_time").alias("first_time"),
-        F.col("first.trade_id").alias("first_id"),
-        F.col("first.price").alias("first_price"),
-        F.col("first.quantity").alias("first_quantity"),
-        F.col("last.event_time").alias("last_time"),
+        "first.event_time AS first_time",
+        "first.trade_id AS first_id",
+        "first.price AS first_price",
+        "first.quantity AS first_quantity",
+        "last.event_time AS last_time",
     )
 
 
 def price_features(bars: DataFrame) -> DataFrame:
-    return bars.withColumns(
-        {
-            "pct_change": change_pct(F.col("close_price") - F.col("open_price"), "open_price"),
-            "range_pct": change_pct(F.col("high") - F.col("low"), "open_price"),
-        }
+    return bars.selectExpr(
+        "*",
+        "(close_price - open_price) / nullif(open_price, 0D) * 100D AS pct_change",
+        "(high - low) / nullif(open_price, 0D) * 100D AS range_pct",
     )
 
 
@@ -122,39 +111,34 @@ def window_features(silver: DataFrame, windows: int = 20) -> DataFrame:
     bar has it. So no ordered group grows with the number of trades: a bar holds
     at most 60 windows, and a symbol one bar per five minutes.
     """
-    fine = summarise(silver, BURST).withColumn(
-        "bar_start", F.window("window_start", BAR)["start"]
-    )
-    grains = fine.withColumn(
-        "burst_start",
-        F.explode(F.array(F.lit(None).cast("timestamp"), F.col("window_start"))),
+    grains = summarise(silver, BURST).select(
+        "*",
+        F.window("window_start", BAR)["start"].alias("bar_start"),
+        F.expr("explode(array(NULL, window_start)) AS burst_start"),
     )
     rolled = grains.groupBy("symbol", "bar_start", "burst_start").agg(
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.sum("volume").alias("volume"),
-        F.sum("trade_count").alias("trade_count"),
-        F.sum("buy_volume").alias("buy_volume"),
-        F.sum("sell_volume").alias("sell_volume"),
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
+        F.expr("min(low) AS low"),
+        F.expr("max(high) AS high"),
+        F.expr("sum(volume) AS volume"),
+        F.expr("sum(trade_count) AS trade_count"),
+        F.expr("sum(buy_volume) AS buy_volume"),
+        F.expr("sum(sell_volume) AS sell_volume"),
+        F.expr("min(first) AS first"),
+        F.expr("max(last) AS last"),
     )
-    start = F.coalesce("burst_start", "bar_start")
-    seconds = F.when(F.col("burst_start").isNull(), BAR_SEC).otherwise(BURST_SEC)
-    ordered = Window.partitionBy(
-        "symbol", F.when(F.col("burst_start").isNotNull(), F.col("bar_start"))
-    ).orderBy("window_start")
-    timed = with_open_close(rolled).withColumns(
-        {
-            "window_start": start,
-            "window_end": F.timestamp_seconds(F.unix_seconds(start) + seconds),
-        }
+    timed = with_open_close(rolled).selectExpr(
+        "*",
+        "coalesce(burst_start, bar_start) AS window_start",
+        f"bar_start + INTERVAL {BAR_SEC} SECONDS AS bar_end",
+        f"burst_start + INTERVAL {BURST_SEC} SECONDS AS burst_end",
+        "IF(burst_start IS NULL, NULL, bar_start) AS within",
     )
-    return price_features(timed).withColumns(
-        {
-            "avg_vol_20": F.avg("volume").over(ordered.rowsBetween(1 - windows, 0)),
-            "previous_time": F.lag("last.event_time").over(ordered),
-        }
+    order = "PARTITION BY symbol, within ORDER BY window_start"
+    return price_features(timed).selectExpr(
+        "*",
+        "coalesce(burst_end, bar_end) AS window_end",
+        f"avg(volume) OVER ({order} ROWS {windows - 1} PRECEDING) AS avg_vol_20",
+        f"lag(last.event_time) OVER ({order}) AS previous_time",
     )
 
 

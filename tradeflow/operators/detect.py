@@ -1,58 +1,47 @@
 """The seven detectors.
 
-A detector is a condition and a record over the columns of its input. Detectors
-of one input are emitted together, so the input is computed once however many
-detectors read it (in a stream: one state store, not one per detector).
+A detector is a condition and a record over the columns of its input, both as SQL
+expressions. Detectors of one input are emitted together, so the input is computed
+once however many detectors read it (in a stream: one state store, not one per
+detector).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tradeflow.config import Rule, Thresholds
 from tradeflow.operators.bars import BAR_SEC, BURST_SEC, window_features
-from tradeflow.operators.gaps import gap_ms
 from tradeflow.operators.silver import to_silver, typed
 from tradeflow.schema import ANOMALY
 
 
 @dataclass(frozen=True)
 class Finding:
-    hit: Column
-    record: Column
+    hit: str
+    record: str
 
 
-def _severity(metric: Column, rule: Rule, *, falling: bool = False) -> Column:
+def _severity(metric: str, rule: Rule, *, falling: bool = False) -> str:
     """CRITICAL, HIGH or MEDIUM by the rule's bounds, outermost first."""
-    graded = F.lit("MEDIUM")
-    for bound, grade in ((rule.high, "HIGH"), (rule.critical, "CRITICAL")):
-        if bound is not None:
-            reached = metric <= bound if falling else metric >= bound
-            graded = F.when(reached, grade).otherwise(graded)
-    return graded
+    reached = "<=" if falling else ">="
+    grades = [
+        f"WHEN {metric} {reached} DOUBLE({bound}) THEN '{grade}'"
+        for bound, grade in ((rule.critical, "CRITICAL"), (rule.high, "HIGH"))
+        if bound is not None
+    ]
+    return f"CASE {' '.join(grades)} ELSE 'MEDIUM' END" if grades else "'MEDIUM'"
 
 
-def _record(**values: Column | str | float) -> Column:
+def _record(**values: str | float) -> str:
     """All columns of the anomaly table, in order and type; absent ones are zero."""
-    absent = {
-        "trade_id": 0, "price": 0.0, "quantity": 0.0, "volume": 0.0, "trade_count": 0,
-        "buy_volume": 0.0, "sell_volume": 0.0, "gap_ms": 0,
-    }
-    given = absent | values
-    return F.struct(
-        *(
-            (v if isinstance(v, Column) else F.lit(v)).cast(f.dataType).alias(f.name)
-            for f, v in ((f, given[f.name]) for f in ANOMALY.fields)
-        )
+    fields = (
+        f"'{f.name}', CAST({values.get(f.name, 0)} AS {f.dataType.simpleString()})"
+        for f in ANOMALY.fields
     )
-
-
-def _text(prefix: str, value: Column) -> Column:
-    return F.concat(F.lit(prefix), value.cast("string"))
+    return f"named_struct({', '.join(fields)})"
 
 
 def emit(df: DataFrame, findings: list[Finding]) -> DataFrame:
@@ -60,86 +49,84 @@ def emit(df: DataFrame, findings: list[Finding]) -> DataFrame:
 
     Rows without any finding are dropped before the records are built.
     """
-    any_hit = reduce(lambda a, b: a | b, (f.hit for f in findings))
-    hits = df.where(any_hit)
+    hits = df.where(" OR ".join(f"({f.hit})" for f in findings))
     if len(findings) == 1:
-        return hits.select(findings[0].record.alias("r")).select("r.*")
-    records = F.array(*(F.when(f.hit, f.record) for f in findings))
-    return hits.select(F.inline(F.array_compact(records))).select(ANOMALY.fieldNames())
+        return hits.selectExpr(f"{findings[0].record} AS r").select("r.*")
+    records = ", ".join(f"IF({f.hit}, {f.record}, NULL)" for f in findings)
+    return hits.selectExpr(f"inline(array_compact(array({records})))")
 
 
-def _bar_record(name: str, category: str, direction: str, **values) -> Column:
+def _bar_record(name: str, category: str, direction: str, **values: str | float) -> str:
     return _record(
-        window_start=F.col("window_start"),
-        window_end=F.col("window_end"),
-        symbol=F.col("symbol"),
-        anomaly_type=name,
-        category=category,
-        direction=direction,
+        window_start="window_start",
+        window_end="window_end",
+        symbol="symbol",
+        anomaly_type=f"'{name}'",
+        category=f"'{category}'",
+        direction=f"'{direction}'",
         window_sec=BAR_SEC,
-        trade_time=F.col("window_end"),
-        price=F.col("close_price"),
-        volume=F.col("volume"),
-        trade_count=F.col("trade_count"),
-        buy_volume=F.col("buy_volume"),
-        sell_volume=F.col("sell_volume"),
+        trade_time="window_end",
+        price="close_price",
+        volume="volume",
+        trade_count="trade_count",
+        buy_volume="buy_volume",
+        sell_volume="sell_volume",
         **values,
     )
 
 
 def price_spike_up(t: Thresholds) -> Finding:
-    rule, change = t.price_spike_up, F.col("pct_change")
+    rule = t.price_spike_up
     return Finding(
-        change >= rule.trigger,
+        f"pct_change >= DOUBLE({rule.trigger})",
         _bar_record(
             "price_spike_up_5m", "price", "UP",
-            severity=_severity(change, rule),
-            metric=change,
+            severity=_severity("pct_change", rule),
+            metric="pct_change",
             threshold=rule.reported,
-            details=_text("Δ%=", F.round(change, 3)),
+            details="concat('Δ%=', round(pct_change, 3))",
         ),
     )
 
 
 def price_spike_down(t: Thresholds) -> Finding:
-    rule, change = t.price_spike_down, F.col("pct_change")
+    rule = t.price_spike_down
     return Finding(
-        change <= rule.trigger,
+        f"pct_change <= DOUBLE({rule.trigger})",
         _bar_record(
             "price_spike_down_5m", "price", "DOWN",
-            severity=_severity(change, rule, falling=True),
-            metric=change,
+            severity=_severity("pct_change", rule, falling=True),
+            metric="pct_change",
             threshold=rule.reported,
-            details=_text("Δ%=", F.round(change, 3)),
+            details="concat('Δ%=', round(pct_change, 3))",
         ),
     )
 
 
 def volatility_spike(t: Thresholds) -> Finding:
-    rule, spread = t.volatility_spike, F.col("range_pct")
+    rule = t.volatility_spike
     return Finding(
-        spread >= rule.trigger,
+        f"range_pct >= DOUBLE({rule.trigger})",
         _bar_record(
             "volatility_spike_5m", "price", "FLAT",
-            severity=_severity(spread, rule),
-            metric=spread,
+            severity=_severity("range_pct", rule),
+            metric="range_pct",
             threshold=rule.reported,
-            details=_text("Range%=", F.round(spread, 3)),
+            details="concat('Range%=', round(range_pct, 3))",
         ),
     )
 
 
 def volume_spike(t: Thresholds) -> Finding:
-    rule = t.volume_spike
-    ratio = F.try_divide("volume", "avg_vol_20")
+    rule, ratio = t.volume_spike, "try_divide(volume, avg_vol_20)"
     return Finding(
-        (F.col("avg_vol_20") > 0) & (ratio >= rule.trigger),
+        f"avg_vol_20 > 0 AND {ratio} >= DOUBLE({rule.trigger})",
         _bar_record(
             "volume_spike_5m", "volume", "FLAT",
             severity=_severity(ratio, rule),
             metric=ratio,
             threshold=rule.reported,
-            details=_text("Volume x=", F.round(ratio, 2)),
+            details=f"concat('Volume x=', round({ratio}, 2))",
         ),
     )
 
@@ -153,56 +140,55 @@ def intertrade_gap(t: Thresholds, first: dict[str, str], previous: str) -> Findi
     """A long silence before the row's first trade.
 
     A gap this long can only end on the first trade of a window that is no
-    longer than the gap, so windows are enough to find every one.
+    longer than the gap, so windows are enough to find every one. Both times are
+    cut to whole seconds first.
     """
-    rule = t.intertrade_gap
+    rule, time = t.intertrade_gap, first["time"]
     if rule.trigger < BURST_SEC * 1000:
         raise ValueError(f"gap trigger must be at least {BURST_SEC} s, the window length")
-    time = F.col(first["time"])
-    gap = gap_ms(time, previous)
+    gap = f"(unix_seconds({time}) - unix_seconds({previous})) * 1000"
     return Finding(
-        gap >= rule.trigger,
+        f"{gap} >= DOUBLE({rule.trigger})",
         _record(
             window_start=time,
             window_end=time,
-            symbol=F.col("symbol"),
-            anomaly_type="intertrade_gap",
-            category="time",
+            symbol="symbol",
+            anomaly_type="'intertrade_gap'",
+            category="'time'",
             severity=_severity(gap, rule),
-            direction="FLAT",
+            direction="'FLAT'",
             metric=gap,
             threshold=rule.reported,
-            window_sec=0,
-            trade_id=F.col(first["id"]),
+            trade_id=first["id"],
             trade_time=time,
-            price=F.col(first["price"]),
-            quantity=F.col(first["quantity"]),
+            price=first["price"],
+            quantity=first["quantity"],
             gap_ms=gap,
-            details=_text("Gap ms=", gap),
+            details=f"concat('Gap ms=', {gap})",
         ),
     )
 
 
 def burst_of_trades(t: Thresholds) -> Finding:
     """Over five-second windows."""
-    rule, count = t.burst_of_trades, F.col("trade_count")
+    rule = t.burst_of_trades
     return Finding(
-        count >= rule.trigger,
+        f"trade_count >= DOUBLE({rule.trigger})",
         _record(
-            window_start=F.col("window_start"),
-            window_end=F.col("window_end"),
-            symbol=F.col("symbol"),
-            anomaly_type="burst_of_trades",
-            category="time",
-            severity=_severity(count, rule),
-            direction="FLAT",
-            metric=count,
+            window_start="window_start",
+            window_end="window_end",
+            symbol="symbol",
+            anomaly_type="'burst_of_trades'",
+            category="'time'",
+            severity=_severity("trade_count", rule),
+            direction="'FLAT'",
+            metric="trade_count",
             threshold=rule.reported,
             window_sec=BURST_SEC,
-            trade_time=F.col("window_end"),
-            volume=F.col("volume"),
-            trade_count=count,
-            details=_text("Trades/5s=", count),
+            trade_time="window_end",
+            volume="volume",
+            trade_count="trade_count",
+            details="concat('Trades/5s=', trade_count)",
         ),
     )
 
@@ -210,28 +196,23 @@ def burst_of_trades(t: Thresholds) -> Finding:
 def data_quality(trades: DataFrame) -> DataFrame:
     """Raw trades with a missing, unparsable, zero or negative field."""
     invalid = (
-        F.col("symbol").isNull()
-        | F.col("price").isNull()
-        | F.col("quantity").isNull()
-        | (F.col("price") <= 0)
-        | (F.col("quantity") <= 0)
+        "symbol IS NULL OR price IS NULL OR quantity IS NULL OR price <= 0 OR quantity <= 0"
     )
     record = _record(
-        window_start=F.col("event_time"),
-        window_end=F.col("event_time"),
-        symbol=F.col("symbol"),
-        anomaly_type="data_quality",
-        category="data",
-        severity="HIGH",
-        direction="FLAT",
+        window_start="event_time",
+        window_end="event_time",
+        symbol="symbol",
+        anomaly_type="'data_quality'",
+        category="'data'",
+        severity="'HIGH'",
+        direction="'FLAT'",
         metric=1.0,
         threshold=1.0,
-        window_sec=0,
-        trade_id=F.col("trade_id"),
-        trade_time=F.col("event_time"),
-        price=F.col("price"),
-        quantity=F.col("quantity"),
-        details="Invalid/null fields detected",
+        trade_id="trade_id",
+        trade_time="event_time",
+        price="price",
+        quantity="quantity",
+        details="'Invalid/null fields detected'",
     )
     return emit(typed(trades), [Finding(invalid, record)])
 
@@ -246,12 +227,11 @@ FIRST_TRADE = {
 
 def window_anomalies(features: DataFrame, t: Thresholds) -> DataFrame:
     """All findings over ``window_features``: bars, bursts and gaps."""
-    on_bar, on_burst = F.col("burst_start").isNull(), F.col("burst_start").isNotNull()
     burst = burst_of_trades(t)
     return emit(
         features,
-        [Finding(on_bar & f.hit, f.record) for f in bar_findings(t)]
-        + [Finding(on_burst & burst.hit, burst.record)]
+        [Finding(f"burst_start IS NULL AND {f.hit}", f.record) for f in bar_findings(t)]
+        + [Finding(f"burst_start IS NOT NULL AND {burst.hit}", burst.record)]
         + [intertrade_gap(t, FIRST_TRADE, "previous_time")],
     )
 

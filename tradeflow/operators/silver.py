@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.functions.columns import ISO_MILLIS, computed_once, finite, with_partitions
+from tradeflow.functions.columns import ISO_MILLIS, computed_once, with_partitions
 from tradeflow.schema import PARTITIONS, SILVER, SILVER_PUBLISHED, WIRE_FIELDS
 
 
 def typed(trades: DataFrame) -> DataFrame:
-    """Raw trades with ``price`` and ``quantity`` as numbers, NULL if unparsable."""
-    return computed_once(
-        trades,
-        price=F.col("price").try_cast("double"),
-        quantity=F.col("qty").try_cast("double"),
-    ).withColumns({"price": finite("price"), "quantity": finite("quantity")})
+    """Raw trades with ``price`` and ``quantity`` as numbers, NULL if unparsable.
+
+    NaN and infinities count as unparsable: Spark orders NaN above every number,
+    so one such price would satisfy every "at least" threshold.
+    """
+    parsed = computed_once(
+        trades, price="try_cast(price AS double)", quantity="try_cast(qty AS double)"
+    )
+    finite = "IF(abs({0}) < double('Infinity'), {0}, NULL) AS {0}"
+    return parsed.selectExpr(
+        "* EXCEPT (price, quantity)", finite.format("price"), finite.format("quantity")
+    )
 
 
 def to_silver(trades: DataFrame) -> DataFrame:
@@ -28,12 +34,7 @@ def to_silver(trades: DataFrame) -> DataFrame:
     return (
         typed(trades)
         .where("symbol IS NOT NULL AND price IS NOT NULL AND quantity IS NOT NULL")
-        .withColumns(
-            {
-                "trade_time": F.timestamp_millis("trade_ms"),
-                "trade_time_ms": F.col("trade_ms"),
-            }
-        )
+        .selectExpr("*", "timestamp_millis(trade_ms) AS trade_time", "trade_ms AS trade_time_ms")
         .select(SILVER.fieldNames())
     )
 

@@ -27,15 +27,14 @@ def _parsed(messages: DataFrame, wire: T.StructType, named: T.StructType) -> Dat
     The cast from ``wire`` to ``named`` renames by position: the wire names
     differ only by case and cannot be told apart by name.
     """
-    text = F.col("value").cast("string")
-    parsed = F.from_json(text, wire, {"columnNameOfCorruptRecord": CORRUPT}).cast(named)
-    return computed_once(messages.select(text.alias("value")), parsed=parsed).select(
-        F.col("value").alias("message"), "parsed"
+    parsed = (
+        f"CAST(from_json(message, '{wire.simpleString()}',"
+        f" map('columnNameOfCorruptRecord', '{CORRUPT}')) AS {named.simpleString()})"
     )
+    return computed_once(messages.selectExpr("CAST(value AS string) AS message"), parsed=parsed)
 
 
-def _malformed() -> Column:
-    return F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull()
+_MALFORMED = f"(parsed IS NULL OR parsed.{CORRUPT} IS NOT NULL)"
 
 
 def _trades(parsed: DataFrame, struct: str) -> DataFrame:
@@ -50,12 +49,12 @@ def _parsed_bare(messages: DataFrame) -> DataFrame:
 
 def parse_trades(messages: DataFrame) -> DataFrame:
     """Trades out of bare trade messages; malformed ones are left out."""
-    return _trades(_parsed_bare(messages).where(~_malformed()), "parsed")
+    return _trades(_parsed_bare(messages).where(f"NOT {_MALFORMED}"), "parsed")
 
 
 def parse_rejects(messages: DataFrame) -> DataFrame:
     """The messages ``parse_trades`` leaves out, with the reason."""
-    rejects = _parsed_bare(messages).where(_malformed())
+    rejects = _parsed_bare(messages).where(_MALFORMED)
     return rejects.select("message", F.lit("bad_json").alias("reason"))
 
 
@@ -67,13 +66,13 @@ def unwrap_envelope(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     named = [T.StructField("stream", T.StringType()), T.StructField("data", TRADE)]
     parsed = _parsed(messages, _with_corrupt(*ENVELOPE.fields), _with_corrupt(*named))
-    values = (F.col(f"parsed.data.{name}") for name in TRADE.fieldNames())
-    reason = (
-        F.when(_malformed(), "bad_json")
-        .when(F.col("parsed.data").isNull(), "no_data")
-        .when(F.coalesce(*(v.cast("string") for v in values)).isNull(), "empty_data")
+    values = ", ".join(f"CAST(parsed.data.{name} AS string)" for name in TRADE.fieldNames())
+    judged = parsed.selectExpr(
+        "*",
+        f"""CASE WHEN {_MALFORMED} THEN 'bad_json'
+                 WHEN parsed.data IS NULL THEN 'no_data'
+                 WHEN coalesce({values}) IS NULL THEN 'empty_data' END AS reason""",
     )
-    judged = parsed.withColumn("reason", reason)
     return (
         _trades(judged.where("reason IS NULL"), "parsed.data"),
         judged.where("reason IS NOT NULL").select("message", "reason"),

@@ -174,12 +174,14 @@ def skewed(spark):
         "concat('S', id % 7)", "pmod(hash(id, 1), 20000000)", "id", "100 + id % 11"
     )
     rows = hot.union(dense).union(copies).union(rest)
-    return rows.selectExpr(
+    cached = rows.selectExpr(
         "'trade' AS event_kind", f"{BASE_MS}L + ms AS event_ms", "symbol", "trade_id",
         "CAST(p AS string) AS price", "CAST(1 + pmod(hash(ms), 5) AS string) AS qty",
         f"{BASE_MS}L + ms AS trade_ms", "ms % 2 = 0 AS is_maker", "true AS ignore_flag",
         f"timestamp_millis({BASE_MS}L + ms) AS event_time",
     ).persist()
+    yield cached
+    cached.unpersist()
 
 
 def test_skew_gives_the_naive_result(skewed):

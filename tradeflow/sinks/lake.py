@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.functions.columns import ISO_MILLIS
 from tradeflow.schema import PARTITIONS
+from tradeflow.sinks.spread import salt, spread
 
 # Folder of each product below the lake path.
 FOLDERS = {"bronze": "raw/hourly", "silver": "silver/hourly", "anomalies": "anomalies"}
@@ -15,25 +16,6 @@ FOLDERS = {"bronze": "raw/hourly", "silver": "silver/hourly", "anomalies": "anom
 COMPACT_BYTES = 256 * 1024 * 1024
 
 
-def _salt(buckets: Column | int) -> Column:
-    # The number of the task, not a hash of the row: copies of one row spread as
-    # well, and a repeated task salts its rows as before.
-    return F.pmod(F.hash(F.spark_partition_id()), buckets)
-
-
-def spread_by_partition(df: DataFrame, salt_buckets: int | None = None) -> DataFrame:
-    """Bring the rows of an hour together without one task per hour.
-
-    Without ``salt_buckets`` adaptive execution does it: it splits large hours and
-    merges small ones to the advisory size. Streams run without it, so they name
-    a number of tasks an hour may use.
-    """
-    if salt_buckets is None:
-        return df.hint("rebalance", *PARTITIONS)
-    salted = df.withColumn("salt", _salt(salt_buckets))
-    return salted.repartition(*PARTITIONS, "salt").drop("salt")
-
-
 def write_lake(
     df: DataFrame,
     path: str,
@@ -50,7 +32,7 @@ def write_lake(
     millisecond ISO times and explicit nulls. With ``batch_id`` the rows go to a
     folder of that batch inside each hour, and a repeated batch replaces it.
     """
-    out = spread_by_partition(df, salt_buckets) if shuffle else df
+    out = spread(df, PARTITIONS, salt_buckets) if shuffle else df
     keys = list(PARTITIONS)
     if batch_id is not None:
         out, mode = out.withColumn("batch_id", F.lit(batch_id)), "overwrite"
@@ -135,10 +117,10 @@ def compact_partitions(
         .withColumn("pieces", pieces)
     )
     rows = read_lake(spark, path, schema).join(hours.select(*PARTITIONS, "pieces"), PARTITIONS)
-    spread = (
-        rows.withColumn("piece", _salt(F.col("pieces")))
+    placed = (
+        rows.withColumn("piece", salt(F.col("pieces")))
         .repartition(*PARTITIONS, "piece")
         .select(schema.fieldNames())
     )
-    write_lake(spread, target, shuffle=False, mode="overwrite")
+    write_lake(placed, target, shuffle=False, mode="overwrite")
     return hours

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def gap_ms(time: Column | str, previous: Column | str) -> Column:
-    """Distance of the whole seconds of two times, in milliseconds."""
-    return (F.unix_seconds(time) - F.unix_seconds(previous)) * 1000
-
-
 def trade_gaps(silver: DataFrame, slice_length: str = "1 minute") -> DataFrame:
     """The previous trade time of every tick of a symbol.
 
@@ -22,36 +17,42 @@ def trade_gaps(silver: DataFrame, slice_length: str = "1 minute") -> DataFrame:
     of the symbol (at most 60,000 ticks a minute), and over the slices
     themselves; a slice's row carries its first tick, whose predecessor lies in
     an earlier slice. No task orders the whole history of a symbol's trades.
+    Slices and ticks come from one shuffle, which Spark reuses.
     """
-    ticks = silver.where("event_time IS NOT NULL").groupBy("symbol", "event_time").agg(
-        F.min(F.struct("trade_id", "price", "quantity")).alias("trade"),
-        F.count("*").alias("trade_count"),
-    )
-    grains = ticks.withColumns(
-        {
-            "slice_start": F.window("event_time", slice_length)["start"],
-            "tick": F.struct("event_time", "trade", "trade_count"),
-        }
-    ).withColumn("tick_time", F.explode(F.array(F.lit(None).cast("timestamp"), "event_time")))
-    rows = grains.groupBy("symbol", "slice_start", "tick_time").agg(
-        F.min("tick").alias("first"), F.max("event_time").alias("last_time")
-    )
-    ordered = Window.partitionBy(
-        "symbol", F.when(F.col("tick_time").isNotNull(), F.col("slice_start"))
-    ).orderBy("row_time")
-    return (
-        rows.withColumn("row_time", F.coalesce("tick_time", "slice_start"))
-        .withColumn("previous_time", F.lag("last_time").over(ordered))
-        # A slice's first tick is shown by the slice's own row.
-        .where("tick_time IS NULL OR previous_time IS NOT NULL")
+    ticks = (
+        silver.where("event_time IS NOT NULL")
+        .groupBy("symbol", "event_time")
+        .agg(
+            F.expr("min(struct(trade_id, price, quantity)) AS trade"),
+            F.expr("count(*) AS trade_count"),
+        )
         .select(
             "symbol",
-            F.col("first.event_time").alias("event_time"),
-            F.col("first.trade.trade_id").alias("trade_id"),
-            F.col("first.trade.price").alias("price"),
-            F.col("first.trade.quantity").alias("quantity"),
-            F.col("first.trade_count").alias("trade_count"),
-            "previous_time",
-            gap_ms("first.event_time", "previous_time").alias("gap_ms"),
+            F.window("event_time", slice_length)["start"].alias("slice_start"),
+            F.struct("event_time", "trade", "trade_count").alias("tick"),
         )
     )
+    slices = ticks.groupBy("symbol", "slice_start").agg(
+        F.expr("min(tick) AS tick"), F.expr("max(tick.event_time) AS last_time")
+    )
+    in_slices = ticks.selectExpr(
+        "symbol", "slice_start AS within", "tick.event_time AS time", "tick",
+        "tick.event_time AS last_time",
+    )
+    over_slices = slices.selectExpr(
+        "symbol", "CAST(NULL AS timestamp) AS within", "slice_start AS time", "tick", "last_time"
+    )
+    lagged = in_slices.unionByName(over_slices).selectExpr(
+        "*", "lag(last_time) OVER (PARTITION BY symbol, within ORDER BY time) AS previous_time"
+    )
+    # A slice's first tick is shown by the slice's own row.
+    return lagged.where("within IS NULL OR previous_time IS NOT NULL").selectExpr(
+        "symbol",
+        "tick.event_time AS event_time",
+        "tick.trade.trade_id AS trade_id",
+        "tick.trade.price AS price",
+        "tick.trade.quantity AS quantity",
+        "tick.trade_count AS trade_count",
+        "previous_time",
+        "(unix_seconds(tick.event_time) - unix_seconds(previous_time)) * 1000 AS gap_ms",
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tradeflow.functions.columns import ISO_MILLIS
 from tradeflow.schema import PARTITIONS
+from tradeflow.session import scratch_folder
 from tradeflow.sinks.spread import salt, spread
 
 # Folder of each product below the lake path.
@@ -116,6 +117,10 @@ def compact_partitions(
         .join(closed.select(*PARTITIONS), PARTITIONS, "left_semi")
         .withColumn("pieces", pieces)
     )
+    # A small table, written so that pruning below does not compute it again.
+    listed = scratch_folder(spark, "compaction")
+    hours.write.parquet(listed)
+    hours = spark.read.schema(hours.schema).parquet(listed).where("bytes > 0")
     rows = read_lake(spark, path, schema).join(hours.select(*PARTITIONS, "pieces"), PARTITIONS)
     placed = (
         rows.withColumn("piece", salt(F.col("pieces")))

@@ -1,8 +1,12 @@
 """The running pipeline: parity with batch, late trades, restarts, routing."""
 
+import dataclasses
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from helpers import BASE_MS, message, same_rows, trade, trades
 from tradeflow.config import PipelineConfig
@@ -14,6 +18,7 @@ from tradeflow.sinks.lake import FOLDERS, read_lake
 from tradeflow.sources.trades import parse_trades, read_trades
 from tradeflow.streaming.pipeline import configure, run_pipeline, start_pipeline, start_publisher
 from tradeflow.streaming.replay import FAR_FUTURE_MS, FLUSH, stream_session
+from tradeflow.streaming.state import PartialsProcessor, RollingMeanProcessor
 
 MINUTE = 60_000
 FLUSH_ROW = trade(FAR_FUTURE_MS - BASE_MS, symbol=FLUSH)
@@ -114,16 +119,12 @@ def test_late_trades(spark, config, tmp_path):
 
 
 def test_unknown_target_starts_nothing(spark, config):
-    import dataclasses
-
     with pytest.raises(ValueError):
         start_pipeline(spark, dataclasses.replace(config, sink_target="nowhere"))
     assert not spark.streams.active
 
 
 def test_publisher(spark, config, tmp_path):
-    import dataclasses
-
     (tmp_path / "symbols.txt").write_text("aaa\n")
     rows = [trade(1), trade(2, symbol="BBB"), trade(3)]
     lines = ['{"stream":"%s","data":%s}' % (r[2], message(r)) for r in rows] + ["{broken"]
@@ -132,3 +133,11 @@ def test_publisher(spark, config, tmp_path):
     start_publisher(stream_session(spark), cfg, target=str(tmp_path / "out")).awaitTermination()
     published = parse_trades(spark.read.text(str(tmp_path / "out")))
     assert same_rows(published, trades(spark, [rows[0], rows[2]]))
+
+
+def test_processors_need_no_package_on_the_workers(tmp_path):
+    pickled = tmp_path / "processor"
+    pickled.write_bytes(cloudpickle.dumps([RollingMeanProcessor(20), PartialsProcessor()]))
+    code = f"import pickle; print(pickle.load(open({str(pickled)!r}, 'rb'))[0].windows)"
+    run = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True)
+    assert run.stdout.strip() == "20", run.stderr

@@ -7,14 +7,19 @@ releases windows in watermark order; sorting the rows of one call is enough.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Workers receive the processors whole, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class RollingMeanProcessor(StatefulProcessor):
     """Mean volume of the last bars of a symbol, the current one included."""

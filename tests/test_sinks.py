@@ -29,6 +29,7 @@ from tradeflow.sinks.warehouse import (
 )
 from tradeflow.sources.events import read_events, trades_from_events
 from tradeflow.sources.trades import parse_trades
+from tradeflow.streaming.pipeline import TO_WAREHOUSE
 
 HOUR = 3_600_000
 
@@ -159,3 +160,11 @@ def test_jdbc_options():
         "url": "jdbc:x://h/db", "dbtable": "t", "user": "u", "password": "p", "batchsize": "3000",
         "driver": "d",
     }
+
+
+def test_bronze_can_go_to_the_warehouse(spark, raw, tmp_path):
+    rows = TO_WAREHOUSE["bronze"](raw)
+    write_warehouse(rows, "bronze", str(tmp_path))
+    stored = spark.read.parquet(f"{tmp_path}/bronze")
+    assert stored.count() == raw.count()
+    assert set(stored.columns) == {*rows.columns, "event_date"}

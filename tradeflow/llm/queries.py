@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from tradeflow.llm.bpe import token_digests
 from tradeflow.llm.common import read
 from tradeflow.llm.exact import mark_exact_copies
 from tradeflow.llm.mixing import mix_sources
 from tradeflow.llm.sharding import number_slots, shard_records
+from tradeflow.llm.token_counts import count_tokens
+from tradeflow.llm.vectors import link_vectors
 
 SHARDS = 40
+LIMIT = 512
+WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,17 +40,45 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_slots(shard_records(docs, "doc_id", [1.0] * SHARDS, new_weight=1.0), ["doc_id"])
 
 
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of near-equal vectors; labels play no part."""
+    return link_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop(
+        "embedding"
+    )
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text they decode to."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", token_digests(docs, F.col("text"), WORD_FILE).alias("t")).select(
+        "doc_id", "t.n_tokens", "t.ids_sha256", "t.decoded_sha256"
+    )
+
+
 def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text."""
     return mark_exact_copies(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        count_tokens(docs, F.col("text"), BYTE_FILE).alias("n_tokens"),
+    ).withColumn("over_limit", F.col("n_tokens") > LIMIT)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
+    "op4_vectors": op4_vectors,
+    "op7_bpe": op7_bpe,
     "op9_exact": op9_exact,
+    "op10_token_count": op10_token_count,
 }
 
 ORACLE: dict[str, str] = {

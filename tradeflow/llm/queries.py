@@ -13,6 +13,7 @@ from tradeflow.llm.bpe import token_digests
 from tradeflow.llm.common import read
 from tradeflow.llm.exact import mark_exact_copies
 from tradeflow.llm.mixing import mix_sources
+from tradeflow.llm.setsketch import link_near_copies
 from tradeflow.llm.sharding import number_slots, shard_records
 from tradeflow.llm.token_counts import count_tokens
 from tradeflow.llm.vectors import link_vectors
@@ -47,6 +48,12 @@ def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents, by four-word shingles."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return link_near_copies(docs, shingle_words=4).drop("text")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text they decode to."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
     "op4_vectors": op4_vectors,
+    "op5_minhash": op5_minhash,
     "op7_bpe": op7_bpe,
     "op9_exact": op9_exact,
     "op10_token_count": op10_token_count,

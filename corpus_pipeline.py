@@ -1,9 +1,78 @@
-"""From raw documents to token ids: five stages, each over all that the one before kept."""
+"""From raw documents to token ids: five stages, each over all that the one before kept.
+
+Each stage takes (spark, docs, sf_dir) and is written and read again before the next.
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradeflow.llm.bpe import encode_texts
+from tradeflow.llm.common import read
+from tradeflow.llm.exact import drop_exact_copies
+from tradeflow.llm.mixing import in_mixed_order
+from tradeflow.llm.setsketch import drop_near_copies
+from tradeflow.llm.toxicity import fit, toxicity_score
+from tradeflow.session import scratch_folder
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+REJECTED = 0.5
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the model learns from the table ``labels``."""
+    model = fit(docs, read(spark, sf_dir, "labels"))
+    scored = docs.withColumn("toxicity_score", toxicity_score(docs, F.col("text"), model))
+    return scored.filter(F.col("toxicity_score") < REJECTED).select(docs.columns)
+
+
+def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents equal but for blanks, the longest; then the smallest id."""
+    return drop_exact_copies(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by a similarity of 0.8 on five-word shingles, the smallest id."""
+    return drop_near_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mix: sources weigh as their size to the 0.7."""
+    return in_mixed_order(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document."""
+    tokens = encode_texts(docs, F.col("text"), TOKENIZER)
+    return docs.select("doc_id", "source", "lang", tokens.alias("t")).select(
+        "doc_id", "source", "lang", "t.n_tokens", F.col("t.ids").alias("token_ids"),
+        "t.ids_sha256", "t.decoded_sha256",
+    )
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("exact_dedup", without_exact_copies),
+    ("near_dedup", without_near_copies),
+    ("mixing", mixed),
+    ("encoding", encoded),
+]
+
+# The model of the first stage has no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the table ``documents``, each result kept as Parquet in the
+    folder of ``spark.checkpoint.dir`` until the next has read it."""
+    docs = read(spark, sf_dir, "documents")
+    folder = scratch_folder(spark, f"pipeline-{uuid.uuid4().hex}")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

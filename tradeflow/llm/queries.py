@@ -16,6 +16,7 @@ from tradeflow.llm.mixing import mix_sources
 from tradeflow.llm.setsketch import link_near_copies
 from tradeflow.llm.sharding import number_slots, shard_records
 from tradeflow.llm.token_counts import count_tokens
+from tradeflow.llm.toxicity import fit, held_out, toxicity_score
 from tradeflow.llm.vectors import link_vectors
 
 SHARDS = 40
@@ -54,6 +55,17 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_near_copies(docs, shingle_words=4).drop("text")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, by a model of the labels that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, read(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        toxicity_score(docs, F.col("text"), model).alias("score"),
+    ).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text they decode to."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op2_shard": op2_shard,
     "op4_vectors": op4_vectors,
     "op5_minhash": op5_minhash,
+    "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op9_exact": op9_exact,
     "op10_token_count": op10_token_count,

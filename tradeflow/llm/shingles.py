@@ -46,23 +46,37 @@ def inverse_powers(n: int) -> np.ndarray:
     return _inverse[:n]
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, index of its text): A-Z in lower case, parted by ASCII blanks."""
+def words_of(
+    texts: list[str | None], blank: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(buffer, starts, stops, index of the text) of the words: A-Z in lower case.
+
+    ``blank`` says for each byte whether it parts words.
+    """
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
     buffer = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     inside = np.empty(len(buffer) + 1, bool)
     inside[0] = False
-    np.logical_not(SPACE[buffer], out=inside[1:])
+    np.logical_not(blank[buffer], out=inside[1:])
     change = np.flatnonzero(inside[1:] != inside[:-1])
     starts, stops = change[::2], change[1::2]
+    return buffer, starts, stops, np.searchsorted(ends, starts, side="right")
+
+
+def spans_hashed(buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of each span of bytes."""
     total = np.concatenate(
         [np.zeros(1, np.uint64), np.cumsum(LETTERS[buffer] * powers(len(buffer)))]
     )
     hashes = (total[stops] - total[starts]) * inverse_powers(len(buffer) + 1)[starts]
-    return mix(hashes + (stops - starts).astype(np.uint64)), np.searchsorted(
-        ends, starts, side="right"
-    )
+    return mix(hashes + (stops - starts).astype(np.uint64))
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, index of its text): A-Z in lower case, parted by ASCII blanks."""
+    buffer, starts, stops, owner = words_of(texts)
+    return spans_hashed(buffer, starts, stops), owner
 
 
 def runs_of_words(hashes: np.ndarray, k: int) -> np.ndarray:

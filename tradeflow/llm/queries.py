@@ -12,7 +12,9 @@ import public_tokenizers
 from tradeflow.llm.bpe import token_digests
 from tradeflow.llm.common import read
 from tradeflow.llm.exact import mark_exact_copies
+from tradeflow.llm.lines import drop_repeated_lines
 from tradeflow.llm.mixing import mix_sources
+from tradeflow.llm.passages import mark_repeats
 from tradeflow.llm.setsketch import link_near_copies
 from tradeflow.llm.sharding import number_slots, shard_records
 from tradeflow.llm.token_counts import count_tokens
@@ -42,6 +44,11 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_slots(shard_records(docs, "doc_id", [1.0] * SHARDS, new_weight=1.0), ["doc_id"])
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that stand earlier in the corpus."""
+    return drop_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of near-equal vectors; labels play no part."""
     return link_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding")).drop(
@@ -74,6 +81,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of every document that stand earlier in the corpus."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return mark_repeats(docs).select(
+        "doc_id",
+        "n_repeated_words",
+        F.array_sort(F.array_distinct("repeats.source")).alias("sources"),
+        "repeats",
+    )
+
+
 def op9_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text."""
     return mark_exact_copies(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
@@ -94,10 +112,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
+    "op3_lines": op3_lines,
     "op4_vectors": op4_vectors,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
+    "op8_passages": op8_passages,
     "op9_exact": op9_exact,
     "op10_token_count": op10_token_count,
 }

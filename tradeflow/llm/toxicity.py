@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,8 +16,8 @@ from tradeflow.llm.merges import slices
 from tradeflow.llm.shingles import LETTERS, SPACE, mix, spans_hashed, words_of
 
 # Production settings: at most so many labelled rows of each kind are learned from,
-# none of a longer text, and so each task and the driver hold a bounded sample.
-SAMPLE_ROWS = 2500
+# none of a longer text, so the one task that learns holds a bounded sample.
+SAMPLE_ROWS = 1500
 SAMPLE_CHARACTERS = 20_000
 WINDOW = 32
 STRIDE = 24
@@ -56,14 +57,17 @@ class Words:
         n = len(where)
         three = mix(mix(mix(letters) + padded[1 : n + 1]) + padded[2 : n + 2])
         four = mix(three + padded[3 : n + 3])
-        word = np.repeat(np.arange(len(size)), size)
+        word = np.repeat(np.arange(len(size), dtype=np.int32), size)
         # The shortest words have one run, however short.
         whole3 = (left >= 3) | (np.arange(n) == np.repeat(heads, size))
         whole4 = left >= 4
-        rows = np.concatenate([three[whole3], four[whole4]]) >> np.uint64(64 - TABLE_BITS)
+        shift = np.uint64(64 - TABLE_BITS)
+        rows = np.concatenate(
+            [(three[whole3] >> shift).astype(np.int32), (four[whole4] >> shift).astype(np.int32)]
+        )
         word = np.concatenate([word[whole3], word[whole4]])
         order = np.argsort(word, kind="stable")
-        self.gram_rows, self.gram_word = rows[order].astype(np.int64), word[order]
+        self.gram_rows, self.gram_word = rows[order], word[order]
         self.gram_count = np.bincount(self.gram_word, minlength=len(size))
         self.gram_first = np.cumsum(self.gram_count) - self.gram_count
 
@@ -262,9 +266,10 @@ def fit(
 
     The sample takes labelled ids in hashed order, none that is held out, and leaves
     out texts over ``sample_characters``; a document with several labels is toxic if
-    one says so. The driver holds that bounded sample and no more. Without
-    documents of both kinds there is no model, and all texts score 0.
+    one says so. One task learns from that bounded sample; the driver holds only the
+    model. Without documents of both kinds there is no model, and all texts score 0.
     """
+    ship(docs.sparkSession)
     node, toxic = F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("_toxic")
     known = (
         labels.filter(F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
@@ -278,16 +283,23 @@ def fit(
     for kind in (1, 0):
         part = known.filter(F.col("_toxic") == kind).orderBy(order, "_id").limit(sample_rows)
         sample = part if sample is None else sample.union(part)
-    texts = (
+    chosen = (
         docs.select(F.col(id_column).alias("_doc"), F.col(text_column).alias("_text"))
         .filter(F.length("_text") <= sample_characters)
         .join(F.broadcast(sample), F.col("_doc") == F.col("_id"))  # 2 * sample_rows ids
         .select("_id", "_text", "_toxic")
         .orderBy(order, "_id", "_text")
         .limit(2 * sample_rows)
-        .collect()
     )
-    return train([r["_text"] for r in texts], np.array([r["_toxic"] == 1 for r in texts], bool))
+    learned = chosen.coalesce(1).mapInPandas(_train, "model binary").collect()
+    return pickle.loads(learned[0]["model"]) if learned else None
+
+
+def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = pd.concat([pd.DataFrame({"_text": [], "_toxic": []}), *batches])
+    model = train(rows["_text"].tolist(), (rows["_toxic"] == 1).to_numpy(bool))
+    if model is not None:
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
 
 def toxicity_score(docs: DataFrame, text: Column, model: dict | None) -> Column:

@@ -24,7 +24,7 @@ STRIDE = 24
 HIDDEN = 8
 DIMENSIONS = 8
 TABLE_BITS = 17
-ROUNDS = (6, 3)  # passes over the windows, before and after mining hard ones
+ROUNDS = (4, 3, 3)  # passes over the windows; hard ones are mined in between
 SEED = 7
 
 # Words end at ASCII blanks and at all other ASCII bytes that are no letter or digit.
@@ -194,7 +194,7 @@ def train(texts: list[str | None], toxic: np.ndarray) -> dict | None:
     for rounds in ROUNDS:
         picked = np.unique(np.concatenate(chosen))
         label = toxic[owner[picked]]
-        share = np.where(label, 0.5 / max(1, label.sum()), 0.5 / max(1, (~label).sum()))
+        share = np.where(label, 0.3 / max(1, label.sum()), 0.7 / max(1, (~label).sum()))
         for _ in range(rounds):
             order = rng.permutation(len(picked))
             for k in range(0, len(order), 256):

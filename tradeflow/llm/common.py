@@ -11,11 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+ARROW_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application."""
+    """Give the Python workers this package, once per application.
+
+    Also bounds the batches that the session sends them: by their size, as one text
+    may be as long as thousands of others.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped or not os.path.isdir(PACKAGE):
         return

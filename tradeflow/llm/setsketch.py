@@ -16,14 +16,14 @@ from tradeflow.llm.shingles import GOLDEN, mix, shingle_sets
 # Production settings.
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
-REGISTERS = 128
-ROWS = 5  # registers to a band
+REGISTERS = 256
+ROWS, BANDS = 5, 25  # registers to a band, bands; the others only serve the estimate
 BASE = 1.001  # the minima are kept as powers of this
 RATE = 20.0
 LARGEST = 65_535
 BLOCK = 400
-# Six standard deviations of the estimate at a similarity of 0.8.
-MARGIN = 6 * (0.8 * 0.2 / REGISTERS) ** 0.5
+# Four standard deviations of the estimate at a similarity of 0.8.
+MARGIN = 4 * (0.8 * 0.2 / REGISTERS) ** 0.5
 
 
 def registers(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
@@ -73,7 +73,7 @@ def merge_registers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def band_hashes(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One hash for each band of ``rows`` register values, different for each band."""
-    bands = sketch.shape[1] // rows
+    bands = min(BANDS, sketch.shape[1] // rows)
     parts = sketch[:, : bands * rows].reshape(len(sketch), bands, rows).astype(np.uint64)
     total = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64) * GOLDEN), parts.shape[:2])
     for r in range(rows):
@@ -172,53 +172,106 @@ def _linked(percent: int):
     return linked
 
 
-def _crossing(m: int, least: float, percent: int):
-    """Likely pairs of a bucket's blocks whose documents are in different components."""
+def _common(sets: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    """How many elements each of the sorted sets has in common with ``x``."""
+    flat = np.concatenate(sets)
+    hit = x[np.minimum(np.searchsorted(x, flat), len(x) - 1)] == flat
+    sizes = np.array([len(y) for y in sets])
+    return np.add.reduceat(hit, np.cumsum(sizes) - sizes)
 
-    def compare(data: pd.DataFrame) -> Iterator[pd.DataFrame]:
+
+class Crossing:
+    """Pairs of a bucket's blocks that are likely and in different components.
+
+    ``involved`` passes on the rows that have such a pair, ``linked`` checks the pairs
+    on the full sets and gives an edge for each row to the least one it is linked to:
+    neither puts out pairs.
+    """
+
+    def __init__(self, m: int, rows: int, least: float, percent: int):
+        self.m, self.rows, self.least, self.percent = m, rows, least, percent
+
+    def _pairs(self, data: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         where = data[["bucket", "i", "j"]].to_numpy()
         cuts = np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1
-        node, comp, n = (data[c].to_numpy() for c in ("node", "component", "n"))
+        comp, n = data["component"].to_numpy(), data["n"].to_numpy()
         block, regs = data["block"].to_numpy(), data["regs"].to_numpy()
+        held = []
         for s, e in zip([0, *cuts], [*cuts, len(data)], strict=True):
             if (comp[s:e] == comp[s]).all():
                 continue
-            own = np.frombuffer(b"".join(regs[s:e]), np.uint16).reshape(-1, m)
-            _, i, j = where[s]
+            own = np.frombuffer(b"".join(regs[s:e]), np.uint16).reshape(-1, self.m)
+            bands = band_hashes(own, self.rows)
+            bucket, i, j = where[s]
             left, right = (np.flatnonzero(block[s:e] == k) for k in (i, j))
             for x in left:
                 other = right[right > x] if i == j else right
                 other = other[comp[s:e][other] != comp[s + x]]
                 small = np.minimum(n[s:e][other], n[s + x])
-                other = other[100 * small >= percent * np.maximum(n[s:e][other], n[s + x])]
+                large = np.maximum(n[s:e][other], n[s + x])
+                other = other[100 * small >= self.percent * large]
                 if not len(other):
                     continue
-                similar = likely_jaccard(
-                    (own[x] > own[other]).sum(1),
-                    (own[x] < own[other]).sum(1),
-                    m,
-                    np.full(len(other), n[s + x]),
-                    n[s:e][other],
-                )
-                other = other[similar >= least]
+                # A pair counts in the first band it shares.
+                shared = bands[other] == bands[x]
+                other = other[bands[x][shared.argmax(axis=1)] == bucket]
+                # Two sketches agree in about as many registers as the sets are similar.
+                equal = (own[x] == own[other]).sum(1)
+                other = other[equal >= self.m * (self.least - 0.1)]
                 if len(other):
-                    pair = np.sort(
-                        np.stack([np.full(len(other), node[s + x]), node[s:e][other]], 1), 1
-                    )
-                    yield pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1]})
+                    above, below = (own[x] > own[other]).sum(1), (own[x] < own[other]).sum(1)
+                    held.append((np.full(len(other), s + x), s + other, above, below))
+            if sum(len(h[0]) for h in held) > 50_000:
+                yield self._likely(held, n)
+                held = []
+        if held:
+            yield self._likely(held, n)
+
+    def _likely(self, held, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a, b, above, below = (np.concatenate(c) for c in zip(*held, strict=True))
+        j = likely_jaccard(above, below, self.m, n[a], n[b])
+        return a[j >= self.least], b[j >= self.least]
 
-    def crossing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @staticmethod
+    def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The rows again, none of a group in two frames."""
         held: list[pd.DataFrame] = []
         for batch in batches:
-            same = (batch[["bucket", "i", "j"]] == batch[["bucket", "i", "j"]].iloc[-1]).all(axis=1)
+            keys = batch[["bucket", "i", "j"]]
+            same = (keys == keys.iloc[-1]).all(axis=1)
             if not same.all():
-                yield from compare(pd.concat([*held, batch[~same]]))
+                yield pd.concat([*held, batch[~same]], ignore_index=True)
                 held = []
             held.append(batch[same])
         if held:
-            yield from compare(pd.concat(held))
-
-    return crossing
+            yield pd.concat(held, ignore_index=True)
+
+    def involved(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for data in self._whole(batches):
+            found = [np.unique(np.concatenate(pair)) for pair in self._pairs(data)]
+            if found:
+                yield data.iloc[np.unique(np.concatenate(found))]
+
+    def linked(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for data in self._whole(batches):
+            sets = [np.frombuffer(x, np.uint64) for x in data["shingles"]]
+            node, n = data["node"].to_numpy(), data["n"].to_numpy()
+            for a, b in self._pairs(data):
+                cuts = np.flatnonzero(a[1:] != a[:-1]) + 1
+                edges = []
+                for s, e in zip([0, *cuts], [*cuts, len(a)], strict=True):
+                    x, other = a[s:e], b[s:e]
+                    if not len(x):
+                        continue
+                    both = _common([sets[k] for k in other], sets[x[0]])
+                    link = 100 * both >= self.percent * (n[x] + n[other] - both)
+                    if link.any():
+                        ends = np.append(node[other[link]], node[x[0]])
+                        edges.append(
+                            pd.DataFrame({"a": np.full(len(ends), ends.min()), "b": ends})
+                        )
+                if edges:
+                    yield pd.concat(edges).drop_duplicates()
 
 
 def link_near_copies(
@@ -236,9 +289,9 @@ def link_near_copies(
     Documents are linked when 100 * common shingles >= ``percent`` * all shingles of
     the two, and a component is what links connect; the row of its smallest id is
     kept. Candidates are documents that share a band of register values; of these,
-    pairs whose likely similarity is within six deviations of the threshold are
+    pairs whose likely similarity is not four deviations below the threshold are
     checked on their full sets. With 25 bands of five, a pair at exactly 0.8 is
-    missed with a chance of 5 in 100,000, a closer one less often.
+    missed with a chance of 8 in 100,000, a closer one less often.
 
     Documents with equal sets are one class, so copies make no pairs. Per bucket,
     every class is first compared with the smallest id there, which joins large
@@ -285,16 +338,9 @@ def link_near_copies(
     def sketch_of(side: str) -> DataFrame:
         return sketch.toDF(side, f"n_{side}", f"regs_{side}")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links on their full sets."""
-        needed = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
-        sets = checkpointed(
-            texts.join(needed, "node", "left_semi").mapInPandas(
-                _sets(shingle_words), "node long, shingles binary"
-            )
-        )
-        return pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a").mapInPandas(
-            _linked(percent), "a long, b long"
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return texts.join(nodes, "node", "left_semi").mapInPandas(
+            _sets(shingle_words), "node long, shingles binary"
         )
 
     stars = checkpointed(
@@ -309,7 +355,13 @@ def link_near_copies(
         .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         .mapInPandas(_likely(m, least), "a long, b long")
     )
-    links = checkpointed(verified(likely))
+    needed = likely.select("a").union(likely.select("b")).distinct().toDF("node")
+    sets = checkpointed(sets_of(needed))
+    links = checkpointed(
+        likely.join(sets.toDF("b", "set_b"), "b")
+        .join(sets.toDF("a", "set_a"), "a")
+        .mapInPandas(_linked(percent), "a long, b long")
+    )
     first = components(links)
 
     # Buckets that still hold several components.
@@ -332,7 +384,9 @@ def link_near_copies(
             F.least(F.col("block"), other).alias("i"), F.greatest(F.col("block"), other).alias("j")
         ),
     )
-    crossing = (
+    crossing = Crossing(m, rows, least, percent)
+    kind = "bucket long, node long, component long, n long, regs binary, block int, i int, j int"
+    involved = checkpointed(
         labelled.join(mixed, "bucket", "left_semi")
         .withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -340,11 +394,15 @@ def link_near_copies(
         .select("bucket", "node", "component", "n", "regs", "block", F.inline(meets).alias("i", "j"))
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "node")
-        .mapInPandas(_crossing(m, least, percent), "a long, b long")
-        .distinct()
-        .join(likely, ["a", "b"], "left_anti")
+        .mapInPandas(crossing.involved, kind)
+    )
+    more = checkpointed(
+        involved.join(sets_of(involved.select("node").distinct()), "node")
+        .repartition("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j", "node")
+        .mapInPandas(crossing.linked, "a long, b long")
+        .filter("a <> b")
     )
-    more = checkpointed(verified(checkpointed(crossing)))
     reached = components(links.union(more))
 
     node, digest, component = fresh(docs, "node", "digest", "component")

@@ -17,7 +17,7 @@ from tradeflow.llm.shingles import LETTERS, SPACE, mix, spans_hashed, words_of
 
 # Production settings: at most so many labelled rows of each kind are learned from,
 # none of a longer text, so the one task that learns holds a bounded sample.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 1000
 SAMPLE_CHARACTERS = 20_000
 WINDOW = 32
 STRIDE = 24
@@ -41,35 +41,43 @@ class Words:
         self.hashes, first, self.index = np.unique(
             hashes, return_index=True, return_inverse=True
         )
+        self.index = self.index.astype(np.int32)
         self.texts = len(texts)
         self._grams(buffer, starts[first], stops[first])
 
     def _grams(self, buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> None:
         """Rows of the character table: the 3 and 4 bytes in a row of each word, with a
-        mark in front of its first byte."""
+        mark in front of its first byte; of a word of one byte its two signs."""
+        rows, words = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for k in range(0, len(starts), 20_000):  # a bounded part of the words at once
+            part, word = self._grams_of(buffer, starts[k : k + 20_000], stops[k : k + 20_000])
+            rows.append(part)
+            words.append(word + np.int32(k))
+        self.gram_rows, self.gram_word = np.concatenate(rows), np.concatenate(words)
+        self.gram_count = np.bincount(self.gram_word, minlength=len(starts))
+        self.gram_first = np.cumsum(self.gram_count) - self.gram_count
+
+    @staticmethod
+    def _grams_of(buffer, starts, stops) -> tuple[np.ndarray, np.ndarray]:
         size = stops - starts + 1
-        where = np.repeat(starts - 1, size) + _counting(size)
-        letters = LETTERS[buffer[np.maximum(where, 0)]]
-        heads = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
+        heads = np.cumsum(size) - size
+        n = int(size.sum())
+        word = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        inside = np.arange(n) - heads[word]
+        letters = LETTERS[buffer[np.maximum((starts - 1)[word] + inside, 0)]]
         letters[heads] = np.uint64(1)
-        left = np.repeat(heads + size, size) - np.arange(len(where))
+        left = size[word] - inside
         padded = np.concatenate([letters, np.zeros(3, np.uint64)])
-        n = len(where)
         three = mix(mix(mix(letters) + padded[1 : n + 1]) + padded[2 : n + 2])
         four = mix(three + padded[3 : n + 3])
-        word = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        # The shortest words have one run, however short.
-        whole3 = (left >= 3) | (np.arange(n) == np.repeat(heads, size))
-        whole4 = left >= 4
         shift = np.uint64(64 - TABLE_BITS)
+        whole3, whole4 = (left >= 3) | (inside == 0), left >= 4
         rows = np.concatenate(
             [(three[whole3] >> shift).astype(np.int32), (four[whole4] >> shift).astype(np.int32)]
         )
         word = np.concatenate([word[whole3], word[whole4]])
         order = np.argsort(word, kind="stable")
-        self.gram_rows, self.gram_word = rows[order], word[order]
-        self.gram_count = np.bincount(self.gram_word, minlength=len(size))
-        self.gram_first = np.cumsum(self.gram_count) - self.gram_count
+        return rows[order], word[order]
 
     def word_rows(self) -> np.ndarray:
         return (self.hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
@@ -88,14 +96,14 @@ class Words:
         a window is one window, filled up with -1; a text without words has none.
         """
         counts = np.bincount(self.owner, minlength=self.texts)
-        begin = np.cumsum(counts) - counts
+        begin = (np.cumsum(counts) - counts).astype(np.int32)
         number = np.where(
             counts > 0, np.maximum(0, -(-(counts - WINDOW) // STRIDE)) + 1, 0
         )
         text = np.repeat(np.arange(self.texts), number)
         at = _counting(number) * STRIDE
-        at = np.maximum(0, np.minimum(at, counts[text] - WINDOW))
-        place = at[:, None] + np.arange(WINDOW)
+        at = np.maximum(0, np.minimum(at, counts[text] - WINDOW)).astype(np.int32)
+        place = at[:, None] + np.arange(WINDOW, dtype=np.int32)
         inside = place < counts[text][:, None]
         place = np.where(inside, place + begin[text][:, None], 0)
         words = self.index[place] if len(self.index) else place

@@ -46,7 +46,11 @@ class Codec:
                     self.last[spelled.removesuffix(self.suffix)] = token
                 else:
                     self.middle[spelled] = token
-        self.longest = max(map(len, [*self.middle, *self.last]))
+        # How long the tokens are that start with the same three letters.
+        self.reach: dict[str, int] = {}
+        for piece in [*self.middle, *self.last]:
+            start = piece[:3]
+            self.reach[start] = max(self.reach.get(start, 0), len(piece))
         self.pair_codes = np.empty(0, np.int64)
         self.pair_fits = np.empty(0, bool)
         self.words = TwoAges(CACHE)
@@ -63,13 +67,17 @@ class Codec:
     def propose(self, spelled: str) -> list[int]:
         """Greedy longest match from the left."""
         ids, i, n = [], 0, len(spelled)
+        middle, last, reach = self.middle.get, self.last.get, self.reach.get
         while True:
-            token = self.last.get(spelled[i:]) if n - i <= self.longest else None
-            if token is not None:
-                ids.append(token)
-                return ids
-            for j in range(min(n - 1, i + self.longest), i, -1):
-                token = self.middle.get(spelled[i:j])
+            far = i + reach(spelled[i : i + 3], 2)
+            if far >= n:
+                token = last(spelled[i:])
+                if token is not None:
+                    ids.append(token)
+                    return ids
+                far = n - 1
+            for j in range(far, i, -1):
+                token = middle(spelled[i:j])
                 if token is not None:
                     ids.append(token)
                     i = j

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -193,11 +194,13 @@ def loaded(kind: type, path: str):
     """One engine of a kind and file for a worker process, kept between its tasks."""
     key = (kind.__module__, kind.__name__, path)
     if key not in _loaded:
+        _loaded.clear()  # a worker holds the tables of one engine at a time
         _loaded[key] = kind(path)
+        gc.freeze()  # the tables stay: the collector need not walk them again
     return _loaded[key]
 
 
-def slices(texts: Iterable[str], characters: int = 2_000_000) -> Iterator[list[str]]:
+def slices(texts: Iterable[str], characters: int = 500_000) -> Iterator[list[str]]:
     """Texts in lists of about so many characters; a longer text is alone in its list."""
     held, size = [], 0
     for text in texts:

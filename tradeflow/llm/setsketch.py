@@ -46,17 +46,21 @@ def registers(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
         bound = (limit / sizes)[owner]
         least = np.full(len(todo) * m, np.inf)
         time = np.zeros(len(element))
-        step = np.zeros(1, np.uint64)
+        step = 0
         while len(element):
-            step = step + GOLDEN
-            drawn = mix(element + step)
-            time = time - np.log(((drawn >> np.uint64(11)) + 0.5) * 2.0**-53) / m
-            alive = time < bound
-            element, owner, bound, time = (
-                element[alive], owner[alive], bound[alive], time[alive],
-            )
-            aim = (mix(drawn[alive] ^ GOLDEN) % np.uint64(m)).astype(np.int64)
-            np.minimum.at(least, owner * m + aim, time)
+            # The last few elements, of small sets, throw many points at a time.
+            k = min(256, max(1, 8192 // len(element)))
+            drawn = mix(element[:, None] + np.arange(step + 1, step + k + 1, dtype=np.uint64) * GOLDEN)
+            gaps = np.log(((drawn >> np.uint64(11)) + 0.5) * 2.0**-53) / -m
+            times = time[:, None] + (np.cumsum(gaps, axis=1) if k > 1 else gaps)
+            near = times < bound[:, None]
+            aim = (mix(drawn[near] ^ GOLDEN) % np.uint64(m)).astype(np.int64)
+            where = np.broadcast_to(owner[:, None], near.shape)[near] * m + aim
+            np.minimum.at(least, where, times[near])
+            alive = near[:, -1]
+            element, owner, bound = element[alive], owner[alive], bound[alive]
+            time = times[alive, -1]
+            step += k
         least = least.reshape(len(todo), m)
         full = np.isfinite(least).all(axis=1)
         value = np.floor(1 - np.log(least[full] / RATE) / np.log(BASE))

@@ -132,9 +132,9 @@ def _projected(model: dict, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def window_logits(model: dict, words: Words, windows: np.ndarray) -> np.ndarray:
     ahead, back = _projected(model, _inputs(model, words))
     logits = np.empty(len(windows), np.float32)
-    for k in range(0, len(windows), 4096):
-        ids = windows[k : k + 4096].T
-        logits[k : k + 4096] = gru.forward(model, ahead[ids], back[ids], ids >= 0)
+    for k in range(0, len(windows), 2048):
+        ids = windows[k : k + 2048].T
+        logits[k : k + 2048] = gru.forward(model, ahead[ids], back[ids], ids >= 0)
     return logits
 
 
@@ -144,7 +144,7 @@ def score_texts(model: dict | None, texts: list[str | None]) -> np.ndarray:
     if model is None:
         return scores
     done = 0
-    for part in slices((t or "" for t in texts), 1_000_000):
+    for part in slices(t or "" for t in texts):
         words = Words(part)
         windows, owner = words.windows()
         if len(windows):

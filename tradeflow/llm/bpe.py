@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import ship
+from tradeflow.llm.common import ship, tidy
 from tradeflow.llm.merges import Merges, TwoAges, has_unknown, loaded, plain_pieces, slices
 
 CACHED_CHARACTERS = 64
-CACHE = 100_000
+CACHE = 60_000
 PAIRS = 2_000_000
 
 # Characters that str.split takes for white space and the vocabulary's
@@ -137,12 +137,10 @@ class Codec:
             return [text]
         return text.split()
 
-    def encode_batch(self, texts: Sequence[str | None]) -> list[tuple[bytes, str]]:
+    def encode_batch(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
-        result = []
         for part in slices(t or "" for t in texts):
-            result.extend(self._encode_slice(part))
-        return result
+            yield from self._encode_slice(part)
 
     def _encode_slice(self, texts: list[str]) -> list[tuple[bytes, str]]:
         split = [
@@ -190,71 +188,51 @@ class Codec:
         return " ".join(names[i] for i in ids if i in names)
 
 
-def encode_texts(docs: DataFrame, text: Column, tokenizer_path: str) -> Column:
-    """A struct column (n_tokens, ids, decoded, ids_sha256, decoded_sha256) of ``text``.
+def _sha256(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def encode_texts(
+    docs: DataFrame, text: Column, tokenizer_path: str, with_ids: bool = True
+) -> Column:
+    """A struct column (n_tokens, ids, ids_sha256, decoded_sha256) of ``text``.
 
     ``ids`` is an array of token ids; ``ids_sha256`` digests them as little-endian
-    unsigned 32-bit integers and ``decoded_sha256`` the decoded text in UTF-8. Null
-    counts as empty and has no tokens. Special strings in a text become their
-    special token. ``tokenizer_path`` must exist on every worker. Texts of any
-    length are encoded whole; other columns never leave the JVM.
+    unsigned 32-bit integers and ``decoded_sha256`` the text they decode to, in UTF-8.
+    Without ``with_ids`` the ids stay with the worker. Null counts as empty and has no
+    tokens. Special strings in a text become their special token. ``tokenizer_path``
+    must exist on every worker. Texts of any length are encoded whole; other columns
+    never leave the JVM.
     """
     ship(docs.sparkSession)
+    ids = "ids array<int>, " if with_ids else ""
 
-    @F.pandas_udf(
-        "n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string"
-    )
+    @F.pandas_udf(f"n_tokens long, {ids}ids_sha256 string, decoded_sha256 string")
+    @tidy
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = loaded(Codec, tokenizer_path)
         for batch in batches:
-            rows = codec.encode_batch(batch.tolist())
-            yield pd.DataFrame(
-                {
-                    "n_tokens": [len(b) // 4 for b, _ in rows],
-                    "ids": [np.frombuffer(b, "<u4").astype("int32") for b, _ in rows],
-                    "decoded": [d for _, d in rows],
-                    "ids_sha256": [hashlib.sha256(b).hexdigest() for b, _ in rows],
-                    "decoded_sha256": [
-                        hashlib.sha256(d.encode("utf-8", "surrogatepass")).hexdigest()
-                        for _, d in rows
-                    ],
-                }
-            )
+            rows = [
+                (b, _sha256(b), _sha256(d.encode("utf-8", "surrogatepass")))
+                for b, d in codec.encode_batch(batch)
+            ]
+            columns = {
+                "n_tokens": [len(b) // 4 for b, _, _ in rows],
+                "ids": [np.frombuffer(b, "<i4") for b, _, _ in rows] if with_ids else None,
+                "ids_sha256": [i for _, i, _ in rows],
+                "decoded_sha256": [d for _, _, d in rows],
+            }
+            yield pd.DataFrame({k: v for k, v in columns.items() if v is not None})
 
     return encoded(text)
 
 
-def token_digests(docs: DataFrame, text: Column, tokenizer_path: str) -> Column:
-    """A struct column (n_tokens, ids_sha256, decoded_sha256): the digests alone.
-
-    The same encoding as ``encode_texts``, for when ids need not reach the JVM.
-    """
-    ship(docs.sparkSession)
-
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        codec = loaded(Codec, tokenizer_path)
-        for batch in batches:
-            rows = codec.encode_batch(batch.tolist())
-            yield pd.DataFrame(
-                {
-                    "n_tokens": [len(b) // 4 for b, _ in rows],
-                    "ids_sha256": [hashlib.sha256(b).hexdigest() for b, _ in rows],
-                    "decoded_sha256": [
-                        hashlib.sha256(d.encode("utf-8", "surrogatepass")).hexdigest()
-                        for _, d in rows
-                    ],
-                }
-            )
-
-    return digests(text)
-
-
 def decode_ids(docs: DataFrame, ids: Column, tokenizer_path: str) -> Column:
     """A column with the decoded text of an array of token ids; null stays null."""
     ship(docs.sparkSession)
 
     @F.pandas_udf("string")
+    @tidy
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = loaded(Codec, tokenizer_path)
         for batch in batches:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import os
 import shutil
 import tempfile
@@ -37,6 +39,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def tidy(work):
+    """A function over batches that gives freed memory back when its task ends.
+
+    Workers live on for the next task, beside a heap that is sized for the executor;
+    what the allocators of numpy and Arrow hold in reserve would add up.
+    """
+
+    @functools.wraps(work)
+    def tidied(batches):
+        try:
+            yield from work(batches)
+        finally:
+            import pyarrow
+
+            pyarrow.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return tidied
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage there.
 

@@ -45,7 +45,10 @@ def mark_exact_copies(
     """
     results = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.drop(*[c for c in results if c not in (id_column, text_column)])
-    digest, text, length, hash_, texts = fresh(docs, "digest", "plain", "length", "hash", "texts")
+    digest, text, length, hash_, texts, size, keeper, best, own, of_text, sha = fresh(
+        docs, "digest", "plain", "length", "hash", "texts", "size", "keeper", "best", "own",
+        "of_text", "sha",
+    )
 
     identity = F.coalesce(
         F.col(id_column).cast("decimal(20,0)"), F.lit(Decimal(2**63)).cast("decimal(20,0)")
@@ -53,43 +56,38 @@ def mark_exact_copies(
     rank = F.col(length).cast("decimal(10,0)") * F.lit(Decimal(2**65)).cast(
         "decimal(20,0)"
     ) - identity
-    keyed = docs.withColumn(text, normalised(F.col(text_column))).withColumns(
+    plain = docs.withColumn(text, normalised(F.col(text_column)))
+    keyed = plain.withColumns(
         {hash_: hashed(F.col(text)), length: F.length(F.coalesce(text_column, F.lit("")))}
     )
-    totals = [
-        F.sum("size").alias("size"),
-        F.max_by("keeper", "rank").alias("keeper"),
-        F.max("rank").alias("rank"),
-    ]
+    chosen = [F.max_by(keeper, best).alias(keeper), F.max(best).alias(best)]
     by_text = (
-        keyed.select(hash_, text, F.col(id_column).alias("keeper"), rank.alias("rank"))
+        keyed.select(hash_, text, F.col(id_column).alias(keeper), rank.alias(best))
         .groupBy(hash_, text)
-        .agg(F.count(F.lit(1)).alias("size"), *totals[1:])
+        .agg(F.count(F.lit(1)).alias(size), *chosen)
     )
     by_hash = checkpointed(
         by_text.groupBy(F.col(hash_).alias(digest)).agg(
-            F.count(F.lit(1)).alias(texts), *totals
+            F.count(F.lit(1)).alias(texts), F.sum(size).alias(size), *chosen
         )
     )
-    rows = keyed.withColumn("text_sha256", F.sha2(text, 256))
-    columns = [*docs.columns, "keeper", "size", "text_sha256", "rank"]
+    rows = keyed.withColumns({sha: F.sha2(text, 256), own: rank})
+    columns = [*docs.columns, keeper, size, best, own, sha]
     alone = by_hash.filter(F.col(texts) == 1)
-    result = rows.join(alone, rows[hash_] == alone[digest]).withColumn("own", rank)
+    result = rows.join(alone, F.col(hash_) == F.col(digest)).select(*columns)
     if not by_hash.filter(F.col(texts) > 1).isEmpty():
         shared = by_hash.filter(F.col(texts) > 1).select(digest)
-        groups = by_text.join(shared, F.col(hash_) == shared[digest], "left_semi").toDF(
-            "of_hash", "of_text", "size", "keeper", "rank"
+        groups = by_text.join(shared, F.col(hash_) == F.col(digest), "left_semi").toDF(
+            digest, of_text, size, keeper, best
         )
-        clashing = rows.join(
-            groups, (rows[hash_] == groups["of_hash"]) & (rows[text] == groups["of_text"])
-        ).withColumn("own", rank)
-        result = result.select(*columns, "own").unionByName(clashing.select(*columns, "own"))
+        same = (F.col(hash_) == F.col(digest)) & (F.col(text) == F.col(of_text))
+        result = result.unionByName(rows.join(groups, same).select(*columns))
     return result.select(
         *docs.columns,
-        F.col("keeper").alias("keep_id"),
-        F.col("size").alias("group_size"),
-        (F.col("own") == F.col("rank")).alias("kept"),
-        "text_sha256",
+        F.col(keeper).alias("keep_id"),
+        F.col(size).alias("group_size"),
+        (F.col(own) == F.col(best)).alias("kept"),
+        F.col(sha).alias("text_sha256"),
     )
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import checkpointed, fresh, ship
+from tradeflow.llm.common import checkpointed, fresh, ship, tidy
 from tradeflow.llm.merges import slices
 from tradeflow.llm.shingles import spans_hashed
 
@@ -54,6 +54,7 @@ def winnow(hashes: np.ndarray, width: int) -> list[tuple[int, int, int]]:
 
 
 def _fingerprints(width: int):
+    @tidy
     def fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = iter(batch["doc"])

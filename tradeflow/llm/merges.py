@@ -11,7 +11,6 @@ from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 import regex
-from tokenizers import Tokenizer
 
 # The pre-token patterns of the two kinds of vocabulary file.
 BYTE_PATTERN = (
@@ -145,7 +144,9 @@ class Merges:
         return [x for x in ids if x >= 0]
 
     @cached_property
-    def library(self) -> Tokenizer:
+    def library(self):
+        from tokenizers import Tokenizer  # only texts with rare characters need it
+
         return Tokenizer.from_file(self.path)
 
     def pieces(self, text: str) -> list[str]:

@@ -115,6 +115,10 @@ def mix_sources(
     key, piece, n, start, block, run, inner, rank, tie = fresh(
         docs, "key", "piece", "n", "start", "block", "run", "inner", "rank", "tie"
     )
+    src, share, p_run, p_src, p_inner, release, deadline, slot, base_, size, first_ = fresh(
+        docs, "src", "share", "p_run", "p_src", "p_inner", "release", "deadline", "slot", "base",
+        "size", "first",
+    )
     others = [c for c in docs.columns if c not in (id_column, source_column)]
     keyed = docs.withColumns(
         {
@@ -157,7 +161,7 @@ def mix_sources(
                 ]
 
     source_rows = [(k, s, per[s]) for s, k in enumerate(names)]
-    sources = spark.createDataFrame(source_rows, f"{key} string, src int, share long")
+    sources = spark.createDataFrame(source_rows, f"{key} string, {src} int, {share} long")
     run_rows = [(i, *r) for i, r in enumerate(runs)]
     patterns = (
         spark.createDataFrame(
@@ -183,29 +187,29 @@ def mix_sources(
         .withColumn(n, F.col(n) + F.col(start))
         .join(F.broadcast(sources), key)  # one row per source
         .withColumn(block, F.floor(F.col(n) / block_rows))
-        .withColumn(start, F.floor(F.col(block) / F.col("share")))
-        .withColumn(inner, F.col(block) % F.col("share"))
+        .withColumn(start, F.floor(F.col(block) / F.col(share)))
+        .withColumn(inner, F.col(block) % F.col(share))
         .withColumn(run, run_of.cast("int"))
     )
     placed = patterns.toDF(
-        "p_run", "p_src", "p_inner", "release", "deadline", "slot", "base", "size", "first"
+        p_run, p_src, p_inner, release, deadline, slot, base_, size, first_
     )
     if sum(r[3] for r in runs) <= BROADCAST_ROWS:
         placed = F.broadcast(placed)
-    shift = F.col("base") + (F.col(start) - F.col("first")) * F.col("size")
+    shift = F.col(base_) + (F.col(start) - F.col(first_)) * F.col(size)
     mixed = ranked.join(
         placed,
-        (F.col(run) == placed["p_run"])
-        & (F.col("src") == placed["p_src"])
-        & (F.col(inner) == placed["p_inner"]),
+        (F.col(run) == F.col(p_run))
+        & (F.col(src) == F.col(p_src))
+        & (F.col(inner) == F.col(p_inner)),
     )
     return mixed.select(
         *docs.columns,
         F.col(block).cast("long").alias("mix_block"),
-        (shift + F.col("release")).cast("long").alias("mix_release"),
-        (shift + F.col("deadline")).cast("long").alias("mix_deadline"),
-        (shift + F.col("slot")).cast("long").alias("mix_slot"),
-        ((shift + F.col("slot")) * block_rows + F.col(n) % block_rows)
+        (shift + F.col(release)).cast("long").alias("mix_release"),
+        (shift + F.col(deadline)).cast("long").alias("mix_deadline"),
+        (shift + F.col(slot)).cast("long").alias("mix_slot"),
+        ((shift + F.col(slot)) * block_rows + F.col(n) % block_rows)
         .cast("long")
         .alias("mix_position"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tradeflow.llm.bpe import token_digests
+from tradeflow.llm.bpe import encode_texts
 from tradeflow.llm.common import read
 from tradeflow.llm.exact import mark_exact_copies
 from tradeflow.llm.lines import drop_repeated_lines
@@ -76,7 +76,8 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text they decode to."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id", token_digests(docs, F.col("text"), WORD_FILE).alias("t")).select(
+    tokens = encode_texts(docs, F.col("text"), WORD_FILE, with_ids=False)
+    return docs.select("doc_id", tokens.alias("t")).select(
         "doc_id", "t.n_tokens", "t.ids_sha256", "t.decoded_sha256"
     )
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import checkpointed, components, fresh, ship
+from tradeflow.llm.common import checkpointed, components, fresh, ship, tidy
 from tradeflow.llm.merges import slices
 from tradeflow.llm.shingles import GOLDEN, mix, shingle_sets
 
@@ -113,6 +113,7 @@ def likely_jaccard(
 
 
 def _sketched(shingle_words: int, m: int, rows: int):
+    @tidy
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = iter(batch["node"])
@@ -137,6 +138,7 @@ def _sketched(shingle_words: int, m: int, rows: int):
 
 
 def _likely(m: int, least: float):
+    @tidy
     def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
@@ -152,6 +154,7 @@ def _likely(m: int, least: float):
 
 
 def _sets(shingle_words: int):
+    @tidy
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = iter(batch["node"])
@@ -163,6 +166,7 @@ def _sets(shingle_words: int):
 
 
 def _linked(percent: int):
+    @tidy
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
@@ -398,13 +402,13 @@ def link_near_copies(
         .select("bucket", "node", "component", "n", "regs", "block", F.inline(meets).alias("i", "j"))
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "node")
-        .mapInPandas(crossing.involved, kind)
+        .mapInPandas(tidy(crossing.involved), kind)
     )
     more = checkpointed(
         involved.join(sets_of(involved.select("node").distinct()), "node")
         .repartition("bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j", "node")
-        .mapInPandas(crossing.linked, "a long, b long")
+        .mapInPandas(tidy(crossing.linked), "a long, b long")
         .filter("a <> b")
     )
     reached = components(links.union(more))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import ship
+from tradeflow.llm.common import ship, tidy
 from tradeflow.llm.merges import Merges, TwoAges, loaded, plain_pieces
 
 # A run of white space longer than one character that holds a space: only there
@@ -102,6 +102,7 @@ def count_tokens(docs: DataFrame, text: Column, tokenizer_path: str) -> Column:
     ship(docs.sparkSession)
 
     @F.pandas_udf("long")
+    @tidy
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counter = loaded(TokenCounter, tokenizer_path)
         for batch in batches:

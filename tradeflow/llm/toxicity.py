@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm import gru
-from tradeflow.llm.common import ship
+from tradeflow.llm.common import ship, tidy
 from tradeflow.llm.merges import slices
 from tradeflow.llm.shingles import LETTERS, SPACE, mix, spans_hashed, words_of
 
@@ -303,6 +303,7 @@ def fit(
     return pickle.loads(learned[0]["model"]) if learned else None
 
 
+@tidy
 def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows = pd.concat([pd.DataFrame({"_text": [], "_toxic": []}), *batches])
     model = train(rows["_text"].tolist(), (rows["_toxic"] == 1).to_numpy(bool))
@@ -320,6 +321,7 @@ def toxicity_score(docs: DataFrame, text: Column, model: dict | None) -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @tidy
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series(score_texts(shared.value, batch.tolist()))

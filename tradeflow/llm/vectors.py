@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import checkpointed, components, fresh, ship
+from tradeflow.llm.common import checkpointed, components, fresh, ship, tidy
 
 # Production settings.
 THRESHOLD = 0.9
@@ -142,6 +142,7 @@ def link_vectors(
     hashes = max(1, ceil(log(max(n, 2)) / log(2 * max(width or 2, 2))))
     tables = tables_per_hash * hashes
 
+    @tidy
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, same in batch.groupby(batch["vector"].map(len)):
@@ -153,6 +154,7 @@ def link_vectors(
                     ids = np.repeat(same["rep"].to_numpy()[k : k + 2000], part.shape[1])
                     yield pd.DataFrame({"bucket": part.ravel(), "rep": ids}).drop_duplicates()
 
+    @tidy
     def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for batch in batches:

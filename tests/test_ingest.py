@@ -1,7 +1,6 @@
 """Messages, envelopes and symbol lists."""
 
 import json
-import logging
 
 import pytest
 
@@ -66,7 +65,7 @@ def test_published_and_bronze_text_read_back(spark):
     assert lines[3]["ts"] is None and lines[3]["E"] is None
 
 
-def test_symbol_files(spark, tmp_path, caplog):
+def test_symbol_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text("  Btc \r\n\n\teth\nETH\n sol\n")
     (tmp_path / "b.txt").write_text("xrp")
     paths = [str(tmp_path / "a.txt"), str(tmp_path / "b.txt")]
@@ -75,10 +74,19 @@ def test_symbol_files(spark, tmp_path, caplog):
     assert [(r.shard, r.symbol) for r in listed] == [(1, "btc"), (1, "eth"), (1, "eth"), (1, "sol"), (2, "xrp")]
     streams = {r.shard: r.streams for r in stream_list(universe).collect()}
     assert streams == {1: "btc@trade/eth@trade/eth@trade/sol@trade", 2: "xrp@trade"}
-    with caplog.at_level(logging.WARNING):
-        cut = load_universe(spark, paths[:1], cap=2)
-    assert sorted(r.symbol for r in cut.collect()) == ["btc", "eth"]
-    assert "only the first 2" in caplog.text
+    split = load_universe(spark, paths, shard_size=2).collect()
+    assert sorted((r.shard, r.symbol) for r in split) == [
+        (1, "btc"), (1, "eth"), (2, "xrp"), (3, "eth"), (3, "sol"),
+    ]
+
+
+def test_long_symbol_list_keeps_every_symbol(spark, tmp_path):
+    (tmp_path / "long.txt").write_text("\n".join(f"s{i}" for i in range(2500)))
+    universe = load_universe(spark, [str(tmp_path / "long.txt")])
+    sizes = {r["shard"]: r["count"] for r in universe.groupBy("shard").count().collect()}
+    assert sizes == {1: 1000, 2: 1000, 3: 500}
+    raw = trades(spark, [trade(i, symbol=f"S{i}") for i in range(2500)])
+    assert restrict_to_universe(raw, universe).count() == 2500
 
 
 def test_empty_symbol_file_is_an_error(spark, tmp_path):

@@ -168,3 +168,18 @@ def test_bronze_can_go_to_the_warehouse(spark, raw, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/bronze")
     assert stored.count() == raw.count()
     assert set(stored.columns) == {*rows.columns, "event_date"}
+
+
+def test_batches_of_another_run_stay(spark, tmp_path):
+    rows = to_silver(trades(spark, [trade(i) for i in range(10)]))
+
+    def write(n, run):
+        part = rows.where(f"trade_id < {n}")
+        write_lake(silver_lake(part), str(tmp_path / "lake"), batch_id=0, run=run)
+        write_warehouse(part.select(SILVER_PUBLISHED), "silver", str(tmp_path), batch_id=0, run=run)
+
+    write(10, "first")
+    write(5, "second")
+    write(3, "second")  # the same batch again
+    assert spark.read.json(str(tmp_path / "lake")).count() == 13
+    assert spark.read.parquet(str(tmp_path / "silver")).count() == 13

@@ -67,7 +67,7 @@ class PipelineConfig:
     source_path: str | None = None
     max_files_per_trigger: int | None = None
     symbol_files: tuple[str, ...] = ()
-    symbol_cap: int = 1000
+    shard_size: int = 1000
 
     # Targets.
     sink_target: str = "warehouse"

@@ -2,57 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def trade_gaps(silver: DataFrame, slice_length: str = "1 minute") -> DataFrame:
-    """The previous trade time of every tick of a symbol.
+    """Every trade with the time of the symbol's previous trade, by (time, trade id).
 
-    A tick is a millisecond in which the symbol traded. Its first trade by
-    (trade id, price, quantity) is shown and has the lag; the ``trade_count - 1``
-    others follow it at distance zero, so the row stands for all of them.
-
-    Ticks are combined before the first shuffle. The lag then runs inside slices
-    of the symbol (at most 60,000 ticks a minute), and over the slices
-    themselves; a slice's row carries its first tick, whose predecessor lies in
-    an earlier slice. No task orders the whole history of a symbol's trades.
-    Slices and ticks come from one shuffle, which Spark reuses.
+    The lag runs over the trades of a slice of the symbol, and over the slices:
+    the first trade of a slice follows the last time of the slice before. So no
+    task orders the whole history of a symbol. Slices are combined before their
+    shuffle; a symbol has one per minute in which it traded.
     """
-    ticks = (
-        silver.where("event_time IS NOT NULL")
-        .groupBy("symbol", "event_time")
-        .agg(
-            F.expr("min(struct(trade_id, price, quantity)) AS trade"),
-            F.expr("count(*) AS trade_count"),
-        )
-        .select(
-            "symbol",
-            F.window("event_time", slice_length)["start"].alias("slice_start"),
-            F.struct("event_time", "trade", "trade_count").alias("tick"),
-        )
+    timed = silver.where("event_time IS NOT NULL").withColumn(
+        "slice_start", F.window("event_time", slice_length)["start"]
     )
-    slices = ticks.groupBy("symbol", "slice_start").agg(
-        F.expr("min(tick) AS tick"), F.expr("max(tick.event_time) AS last_time")
-    )
-    in_slices = ticks.selectExpr(
-        "symbol", "slice_start AS within", "tick.event_time AS time", "tick",
-        "tick.event_time AS last_time",
-    )
-    over_slices = slices.selectExpr(
-        "symbol", "CAST(NULL AS timestamp) AS within", "slice_start AS time", "tick", "last_time"
+    slices = (
+        timed.groupBy("symbol", "slice_start")
+        .agg(F.max("event_time").alias("last_time"))
+        .selectExpr(
+            "symbol AS of_symbol",
+            "slice_start AS of_slice",
+            "lag(last_time) OVER (PARTITION BY symbol ORDER BY slice_start) AS before_slice",
+        )
     )
-    lagged = in_slices.unionByName(over_slices).selectExpr(
-        "*", "lag(last_time) OVER (PARTITION BY symbol, within ORDER BY time) AS previous_time"
+    inside = Window.partitionBy("symbol", "slice_start").orderBy("event_time", "trade_id")
+    lagged = timed.withColumn("inside", F.lag("event_time").over(inside)).join(
+        slices, F.expr("symbol <=> of_symbol AND slice_start = of_slice")
     )
-    # A slice's first tick is shown by the slice's own row.
-    return lagged.where("within IS NULL OR previous_time IS NOT NULL").selectExpr(
+    return lagged.withColumn("previous_time", F.coalesce("inside", "before_slice")).selectExpr(
         "symbol",
-        "tick.event_time AS event_time",
-        "tick.trade.trade_id AS trade_id",
-        "tick.trade.price AS price",
-        "tick.trade.quantity AS quantity",
-        "tick.trade_count AS trade_count",
+        "event_time",
+        "trade_id",
+        "price",
+        "quantity",
         "previous_time",
-        "(unix_seconds(tick.event_time) - unix_seconds(previous_time)) * 1000 AS gap_ms",
+        "(unix_seconds(event_time) - unix_seconds(previous_time)) * 1000 AS gap_ms",
     )

@@ -24,6 +24,7 @@ def write_lake(
     shuffle: bool = True,
     salt_buckets: int | None = None,
     batch_id: int | None = None,
+    run: str | None = None,
     max_records_per_file: int = 0,
     mode: str = "append",
 ) -> None:
@@ -31,13 +32,17 @@ def write_lake(
 
     A product with a ``value`` column is text already; others become JSON with
     millisecond ISO times and explicit nulls. With ``batch_id`` the rows go to a
-    folder of that batch inside each hour, and a repeated batch replaces it.
+    folder of that batch inside each hour, and a repeated batch replaces it; ``run``
+    names the checkpoint that numbers the batches and keeps those of others apart.
     """
     out = spread(df, PARTITIONS, salt_buckets) if shuffle else df
     keys = list(PARTITIONS)
     if batch_id is not None:
         out, mode = out.withColumn("batch_id", F.lit(batch_id)), "overwrite"
         keys.append("batch_id")
+        if run is not None:
+            out = out.withColumn("run_id", F.lit(run))
+            keys.insert(-1, "run_id")
     writer = (
         out.write.mode(mode)
         .partitionBy(*keys)

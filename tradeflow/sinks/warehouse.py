@@ -92,13 +92,14 @@ def write_warehouse(
     jdbc: JdbcTarget | None = None,
     batch_rows: int = 10_000,
     batch_id: int | None = None,
+    run: str | None = None,
     salt_buckets: int | None = None,
     mode: str = "append",
 ) -> None:
     """Append a product to its warehouse table.
 
-    A table in a folder gets one sub-folder per day (and per batch, which a
-    repeated batch replaces). A JDBC table receives each batch at least once.
+    A table in a folder gets one sub-folder per day (and per ``run`` and batch,
+    which a repeated batch of that run replaces). A JDBC table receives each batch at least once.
     """
     layout = LAYOUTS[product]
     typed = to_warehouse_types(df)
@@ -112,6 +113,9 @@ def write_warehouse(
     if batch_id is not None:
         out, mode = out.withColumn("batch_id", F.lit(batch_id)), "overwrite"
         keys.append("batch_id")
+        if run is not None:
+            out = out.withColumn("run_id", F.lit(run))
+            keys.insert(-1, "run_id")
     (
         out.write.mode(mode)
         .partitionBy(*keys)

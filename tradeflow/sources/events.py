@@ -59,7 +59,7 @@ def trades_from_events(events: DataFrame) -> DataFrame:
             "IF(user_id = 1, NULL, upper(event_type)) AS symbol",
             "event_id AS trade_id",
             "IF(user_id = 0, NULL, CAST(100 + value / 20 AS string)) AS price",
-            r"""nullif(regexp_extract(props, r'^\{"k": (\d+)\}$', 1), '') AS qty""",
+            "get_json_object(props, '$.k') AS qty",
             "event_ms - event_id % 50 AS trade_ms",
             "user_id % 2 = 0 AS is_maker",
             "true AS ignore_flag",

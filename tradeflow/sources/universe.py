@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeflow.functions.columns import stream_name
 
-logger = logging.getLogger(__name__)
+# Fixed value: most streams that one subscription carries.
+SHARD_SIZE = 1000
 
-# Fixed value: most symbols one feed may subscribe to.
-SYMBOL_CAP = 1000
 
+def universe_from_lines(
+    lines: DataFrame, shard_size: int = SHARD_SIZE, shards: int = 1
+) -> DataFrame:
+    """(shard, line_no, line) to (shard, line_no, symbol), with every symbol kept.
 
-def universe_from_lines(lines: DataFrame, cap: int = SYMBOL_CAP) -> DataFrame:
-    """(shard, line_no, line) to (shard, line_no, symbol), ``cap`` symbols a shard.
-
-    Lines are trimmed and lower-cased, blank ones dropped; the first lines win.
-    Spark keeps at most ``cap`` rows per task before it shuffles.
+    Lines are trimmed and lower-cased, blank ones dropped. A list of more than
+    ``shard_size`` symbols goes on in further shards: the ``k``-th part of list
+    ``s`` is shard ``s + k * shards``, where ``shards`` is the number of lists.
     """
     symbols = lines.select(
         "shard",
@@ -28,38 +29,31 @@ def universe_from_lines(lines: DataFrame, cap: int = SYMBOL_CAP) -> DataFrame:
         F.lower(F.regexp_replace("line", r"(?U)^\s+|\s+$", "")).alias("symbol"),
     ).where("symbol <> ''")
     in_order = Window.partitionBy("shard").orderBy("line_no")
-    return (
-        symbols.withColumn("rank", F.row_number().over(in_order))
-        .where(F.col("rank") <= cap)
-        .drop("rank")
+    part = F.floor((F.row_number().over(in_order) - 1) / shard_size).cast("int")
+    return symbols.withColumn("part", part).select(
+        (F.col("shard") + F.col("part") * shards).alias("shard"), "line_no", "symbol"
     )
 
 
 def load_universe(
-    spark: SparkSession, paths: Sequence[str], cap: int = SYMBOL_CAP
+    spark: SparkSession, paths: Sequence[str], shard_size: int = SHARD_SIZE
 ) -> DataFrame:
-    """Read symbol files, one shard each; a cut is logged, an empty list is an error."""
-    shards = []
-    for shard, path in enumerate(paths, start=1):
+    """Read symbol files, one or more shards each; an empty list is an error."""
+    lists = []
+    for number, path in enumerate(paths, start=1):
         # A symbol list is one small file, so its lines keep their order.
         whole = spark.read.text(path, wholetext=True)
         lines = whole.select(
-            F.lit(shard).alias("shard"),
+            F.lit(number).alias("shard"),
             F.posexplode(F.split("value", r"\r\n|\r|\n")).alias("line_no", "line"),
         )
-        symbols = universe_from_lines(lines, cap)
-        found = universe_from_lines(lines, 2**31 - 1).count()
-        if found == 0:
+        symbols = universe_from_lines(lines, shard_size, len(paths))
+        if symbols.isEmpty():
             raise ValueError(f"no symbol in {path}")
-        if found > cap:
-            logger.warning("%s lists %d symbols; only the first %d are used", path, found, cap)
-        shards.append(symbols)
-    if not shards:
+        lists.append(symbols)
+    if not lists:
         raise ValueError("no symbol file given")
-    universe = shards[0]
-    for more in shards[1:]:
-        universe = universe.unionByName(more)
-    return universe
+    return reduce(DataFrame.unionByName, lists)
 
 
 def stream_list(universe: DataFrame) -> DataFrame:
@@ -73,10 +67,10 @@ def stream_list(universe: DataFrame) -> DataFrame:
 def restrict_to_universe(trades: DataFrame, universe: DataFrame) -> DataFrame:
     """Trades of subscribed symbols, with their stream name.
 
-    There is no broadcast hint: Spark broadcasts the list when its size, bounded
-    by the cap, is below the session's threshold.
+    There is no broadcast hint: Spark broadcasts the list when its size is below
+    the session's threshold.
     """
-    wanted = universe.select(F.col("symbol").alias("wanted")).distinct()
+    wanted = universe.select(F.col("symbol").alias("wanted"))
     kept = trades.join(wanted, F.lower("symbol") == F.col("wanted"), "left_semi")
     return kept.withColumn("stream", stream_name())
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,10 +80,23 @@ TO_WAREHOUSE: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def fan_out(product: str, cfg: PipelineConfig, targets: set[str]):
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name for all starts from one checkpoint, kept beside it.
+
+    Batch ids count from 0 again under a new checkpoint; with this name in the
+    folder of a batch they cannot replace an older run's.
+    """
+    kept = f"{checkpoint}-run"
+    new = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
+    new.coalesce(1).write.mode("ignore").text(kept)
+    return spark.read.text(kept).first()[0]
+
+
+def fan_out(product: str, cfg: PipelineConfig, targets: set[str], run: str | None = None):
     """Writes one micro-batch to every target, computing it once.
 
-    A batch that runs again after a failure replaces what it wrote before.
+    A batch that runs again after a failure replaces what it wrote before; batches
+    of other runs stay.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -96,6 +110,7 @@ def fan_out(product: str, cfg: PipelineConfig, targets: set[str]):
                     f"{cfg.lake_path}/{FOLDERS[product]}",
                     salt_buckets=cfg.salt_buckets,
                     batch_id=batch_id,
+                    run=run,
                     max_records_per_file=cfg.max_records_per_file,
                 )
             if WAREHOUSE in targets:
@@ -107,6 +122,7 @@ def fan_out(product: str, cfg: PipelineConfig, targets: set[str]):
                     jdbc=cfg.jdbc,
                     batch_rows=rows,
                     batch_id=batch_id,
+                    run=run,
                     salt_buckets=cfg.salt_buckets,
                 )
         finally:
@@ -116,11 +132,15 @@ def fan_out(product: str, cfg: PipelineConfig, targets: set[str]):
     return write
 
 
+def _checkpoint(cfg: PipelineConfig, name: str) -> str:
+    return f"{cfg.checkpoint_root}/{name}"
+
+
 def _start(df: DataFrame, name: str, cfg: PipelineConfig, write) -> StreamingQuery:
     writer = (
         df.writeStream.queryName(name)
         .outputMode("append")
-        .option("checkpointLocation", f"{cfg.checkpoint_root}/{name}")
+        .option("checkpointLocation", _checkpoint(cfg, name))
         .foreachBatch(write)
     )
     if cfg.trigger is None:
@@ -137,16 +157,13 @@ def start_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Stream
     targets = cfg.targets
     configure(spark, cfg)
     trades = read_trades(spark, cfg)
-    if cfg.symbol_files:
-        universe = load_universe(spark, cfg.symbol_files, cfg.symbol_cap)
-        trades = restrict_to_universe(trades, universe).drop("stream")
     products = {
         "bronze": (trades, targets if cfg.bronze_to_warehouse else targets & {LAKE}),
         "silver": (to_silver(trades), targets),
         "anomalies": (stream_anomalies(trades, cfg.thresholds), targets),
     }
     return {
-        name: _start(df, name, cfg, fan_out(name, cfg, wanted))
+        name: _start(df, name, cfg, fan_out(name, cfg, wanted, run_id(spark, _checkpoint(cfg, name))))
         for name, (df, wanted) in products.items()
         if wanted
     }
@@ -158,8 +175,12 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> None:
     if cfg.trigger is None:
         for query in queries.values():
             query.awaitTermination()
-    else:
+        return
+    try:
         spark.streams.awaitAnyTermination()
+    finally:  # one failed or stopped stream ends the job, as its parts belong together
+        for query in queries.values():
+            query.stop()
 
 
 def start_publisher(
@@ -174,7 +195,7 @@ def start_publisher(
     pin_utc(spark)
     trades, _ = unwrap_envelope(read_messages(spark, cfg))
     if cfg.symbol_files:
-        universe = load_universe(spark, cfg.symbol_files, cfg.symbol_cap)
+        universe = load_universe(spark, cfg.symbol_files, cfg.shard_size)
         trades = restrict_to_universe(trades, universe)
     writer = publish_trades(trades).writeStream.option(
         "checkpointLocation", f"{cfg.checkpoint_root}/publisher"

@@ -36,17 +36,14 @@ def _sentinel(spark: SparkSession) -> DataFrame:
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session of its own for streams.
 
-    Every state partition of every stateful operator opens a store and a Python
-    worker per batch, so there are no more of them than half the cores.
+    Its state partitions are those of the caller's setting, whatever cores are
+    there at that moment: the layout of a state outlives its first start.
     """
     session = pin_utc(spark.newSession())
     for key, value in STATE_STORE.items():
         session.conf.set(key, value)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set(
-        "spark.sql.shuffle.partitions",
-        min(wanted, max(4, spark.sparkContext.defaultParallelism // 2)),
-    )
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
     return session
 
 

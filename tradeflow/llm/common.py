@@ -12,6 +12,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeflow.session import scratch_folder
+
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 ARROW_BYTES = 8 << 20
 _shipped: set[str] = set()
@@ -21,9 +23,11 @@ def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application.
 
     Also bounds the batches that the session sends them: by their size, as one text
-    may be as long as thousands of others.
+    may be as long as thousands of others. Shuffle files go when the result they
+    served is written, so an operator of many steps holds those of one at a time.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     context = spark.sparkContext
     if context.applicationId in _shipped or not os.path.isdir(PACKAGE):
         return
@@ -78,6 +82,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Scratch:
+    """Compressed intermediate tables in the shared folder, gone when the block ends.
+
+    What is returned from the block must not read them any more.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark = spark
+        self.folder = scratch_folder(spark, purpose)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` as a table and read it from there."""
+        path = f"{self.folder}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads; without names, the whole folder."""
+        for name in names or ("",):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.drop()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

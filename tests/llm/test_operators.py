@@ -262,6 +262,21 @@ def test_planted_passages_are_found_and_clean_texts_left(spark):
     assert len(cut[101].split()) == 130
 
 
+def test_passages_within_a_document_and_rows_of_one_id(spark):
+    rng = np.random.default_rng(7)
+    passage = [f"w{k}" for k in rng.integers(0, 900, 80)]
+    other = [f"v{k}" for k in rng.integers(0, 900, 300)]
+    rows = [(1, " ".join(passage * 6)), (2, " ".join(other)), (3, " ".join([*other[100:200], "x"]))]
+    docs = spark.createDataFrame([*rows, rows[2], (3, "y")], "doc_id long, text string")
+    found = mark_repeats(docs).select("doc_id", "n_repeated_words", "repeats").collect()
+    words = {}
+    for r in found:
+        words.setdefault(r["doc_id"], []).append(r["n_repeated_words"])
+    assert words == {1: [400], 2: [0], 3: [100, 100, 100]}
+    for s in next(r["repeats"] for r in found if r["doc_id"] == 1):
+        assert s["source_stop"] <= s["start"]
+
+
 def test_exact_passages_of_the_corpus_are_found(spark, documents):
     rows = q.op8_passages(spark, SF).filter("n_repeated_words > 0").collect()
     first, elsewhere = {}, set()

@@ -298,6 +298,40 @@ def test_exact_passages_of_the_corpus_are_found(spark, documents):
             assert len(x & y) >= 0.8 * len(x | y)
 
 
+def test_passages_of_which_every_part_stands_earlier_elsewhere(spark):
+    rng = np.random.default_rng(12)
+    fresh_words = iter(range(10**6))
+
+    def some(n):
+        return [f"c{next(fresh_words)}" for _ in range(n)]
+
+    rows = []
+    for k in range(12):
+        passage = [f"p{k}x{i}" for i in range(50 + 5 * k)]
+        for _ in range(12):  # all its shingles, in parts of 30 words with other neighbours
+            for i in range(0, len(passage) - 4, 13):
+                rows.append(some(60) + passage[i : i + 30] + some(60))
+        rows.append(some(20) + passage + some(int(rng.integers(0, 60))))
+        rows.append(some(30) + passage + passage[3:8] + some(70))
+    # A copy whose two halves have different sources, and one within a document.
+    rows.append(rows[-1][20:110] + rows[-3][0:70])
+    rows.append(some(9) + rows[-2][25:90] + some(20) + rows[-2][25:90] + some(5))
+    docs = spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string"
+    )
+    found = {r["doc_id"]: r["repeats"] for r in mark_repeats(docs).collect()}
+    seen = {}
+    for doc, w in enumerate(rows):
+        due = set()
+        for k in range(len(w) - 49):
+            at = seen.setdefault(tuple(w[k : k + 50]), (doc, k))
+            if at[0] != doc or at[1] + 50 <= k:
+                due |= set(range(k, k + 50))
+        covered = {i for s in found[doc] for i in range(s["start"], s["stop"])}
+        assert due <= covered, doc
+        assert bool(due) == bool(covered), doc
+
+
 def test_tokens_round_trip(spark, documents):
     docs = spark.createDataFrame(ODD, "doc_id long, text string")
     rows = docs.select("text", encode_texts(docs, F.col("text"), q.WORD_FILE).alias("t"))

@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each over all that the one before kept.
 
 Each stage takes (spark, docs, sf_dir) and is written and read again before the next.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``; mixing adds the place of each
+document in the mix, which the token ids carry on.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from pyspark.sql import functions as F
 from tradeflow.llm.bpe import encode_texts
 from tradeflow.llm.common import read
 from tradeflow.llm.exact import drop_exact_copies
-from tradeflow.llm.mixing import in_mixed_order
+from tradeflow.llm.mixing import mix_sources
 from tradeflow.llm.setsketch import drop_near_copies
 from tradeflow.llm.toxicity import fit, toxicity_score
 from tradeflow.session import scratch_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 REJECTED = 0.5
+PLACE = ["mix_slot", "mix_position"]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +44,18 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix: sources weigh as their size to the 0.7."""
-    return in_mixed_order(docs)
+    """All documents in the order of the mix: sources weigh as their size to the 0.7.
+
+    A scan of several files does not keep the order, so slot and position stay as columns.
+    """
+    return mix_sources(docs).orderBy("mix_position").select(*docs.columns, *PLACE)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document."""
+    """The token ids of every document, and its place in the mix."""
     tokens = encode_texts(docs, F.col("text"), TOKENIZER)
-    return docs.select("doc_id", "source", "lang", tokens.alias("t")).select(
-        "doc_id", "source", "lang", "t.n_tokens", F.col("t.ids").alias("token_ids"),
+    return docs.select("doc_id", "source", "lang", *PLACE, tokens.alias("t")).select(
+        "doc_id", "source", "lang", *PLACE, "t.n_tokens", F.col("t.ids").alias("token_ids"),
         "t.ids_sha256", "t.decoded_sha256",
     )
 
@@ -69,10 +74,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over the table ``documents``, each result kept as Parquet in the
-    folder of ``spark.checkpoint.dir`` until the next has read it."""
+    folder of ``spark.checkpoint.dir`` until the next has read it. Rows come in the
+    order of the mix."""
     docs = read(spark, sf_dir, "documents")
     folder = scratch_folder(spark, f"pipeline-{uuid.uuid4().hex}")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return docs
+    return docs.orderBy("mix_position")

@@ -383,6 +383,13 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, documents):
         assert r["n_tokens"] == len(r["token_ids"])
 
 
+def test_pipeline_rows_stand_in_the_order_of_the_mix(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[3:])
+    rows = corpus_pipeline.run(spark, SF).select("doc_id", "mix_slot", "mix_position").collect()
+    due = mix_sources(spark.read.parquet(f"{SF}/documents.parquet")).orderBy("mix_position")
+    assert rows == due.select("doc_id", "mix_slot", "mix_position").collect()
+
+
 def test_held_out_is_the_remainder(spark):
     rows = spark.range(50).select("id", held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in rows)

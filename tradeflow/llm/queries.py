@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from tradeflow.llm.bpe import encode_texts
+from tradeflow.llm.codes import compress_vectors, with_group_sum
 from tradeflow.llm.common import read
 from tradeflow.llm.exact import mark_exact_copies
+from tradeflow.llm.importance import rank_for_target
 from tradeflow.llm.lines import drop_repeated_lines
 from tradeflow.llm.mixing import mix_sources
 from tradeflow.llm.passages import mark_repeats
@@ -108,6 +110,19 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much every document is like the benchmark, and the rank of those drawn for it."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return rank_for_target(docs, read(spark, sf_dir, "benchmark"), keep_text=False)
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of every usable vector, and what is lost by it, also by label."""
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded = compress_vectors(vectors).drop("embedding")
+    return with_group_sum(coded, "label", "error", "label_error").drop("label")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
@@ -121,6 +136,8 @@ QUERIES: dict[str, Query] = {
     "op8_passages": op8_passages,
     "op9_exact": op9_exact,
     "op10_token_count": op10_token_count,
+    "op12_importance": op12_importance,
+    "op13_codes": op13_codes,
 }
 
 ORACLE: dict[str, str] = {

@@ -17,6 +17,7 @@ from tradeflow.llm.importance import rank_for_target
 from tradeflow.llm.lines import drop_repeated_lines
 from tradeflow.llm.mixing import mix_sources
 from tradeflow.llm.passages import mark_repeats
+from tradeflow.llm.ranked_bpe import encode_ranked
 from tradeflow.llm.setsketch import link_near_copies
 from tradeflow.llm.sharding import number_slots, shard_records
 from tradeflow.llm.token_counts import count_tokens
@@ -27,6 +28,7 @@ SHARDS = 40
 LIMIT = 512
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +112,17 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op11_ranked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ranked token ids of every document and of what they decode to."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = encode_ranked(
+        docs, F.col("text"), RANK_FILE, public_tokenizers.PATTERN, with_ids=False
+    )
+    return docs.select("doc_id", tokens.alias("t")).select(
+        "doc_id", "t.n_tokens", "t.ids_sha256", "t.decoded_sha256"
+    )
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much every document is like the benchmark, and the rank of those drawn for it."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -136,6 +149,7 @@ QUERIES: dict[str, Query] = {
     "op8_passages": op8_passages,
     "op9_exact": op9_exact,
     "op10_token_count": op10_token_count,
+    "op11_ranked_bpe": op11_ranked_bpe,
     "op12_importance": op12_importance,
     "op13_codes": op13_codes,
 }
@@ -156,4 +170,50 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM grouped
     """,
+    "op12_importance": r"""
+        WITH words AS (
+            SELECT 0 AS side, doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+            UNION ALL
+            SELECT 1, NULL, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+        ), spelled AS (
+            SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM words)
+        ), bucketed AS (
+            SELECT word, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2),
+                    lambda i: ('0x' || h[i:i + 1])::BIGINT)),
+                lambda crc, byte: list_reduce(
+                    [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+                    lambda c, bit: xor(c >> 1, 3988292384 * (c & 1))))) % 10000 AS bucket
+            FROM spelled
+        ), found AS (
+            SELECT side, doc_id, bucket FROM words JOIN bucketed USING (word)
+        ), counts AS (
+            SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
+            FROM found GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM counts
+        ), weighed AS (
+            SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM found JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id
+        ), scored AS (
+            SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                    (('0x' || sha256('2024:' || d.doc_id)[1:8])::BIGINT + 0.5::DOUBLE)
+                    / 4294967296)))::BIGINT AS score
+            FROM documents d LEFT JOIN weighed w ON w.doc_id = d.doc_id
+        ), ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+                10 * count(*) OVER () // 100 AS drawn
+            FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score,
+            CASE WHEN rank <= drawn THEN rank END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
 }

@@ -18,7 +18,7 @@ from tradeflow.sinks.lake import FOLDERS, read_lake
 from tradeflow.sources.trades import parse_trades, read_trades
 from tradeflow.streaming.pipeline import configure, run_pipeline, start_pipeline, start_publisher
 from tradeflow.streaming.replay import FAR_FUTURE_MS, FLUSH, stream_session
-from tradeflow.streaming.state import PartialsProcessor, RollingMeanProcessor
+from tradeflow.streaming.state import BarProcessor
 
 MINUTE = 60_000
 FLUSH_ROW = trade(FAR_FUTURE_MS - BASE_MS, symbol=FLUSH)
@@ -87,13 +87,13 @@ def test_restart_writes_everything_once_to_both_targets(spark, config, tmp_path)
     assert set(ANOMALY.fieldNames()) <= set(stored.columns)
 
 
-def test_anomalies_use_four_stateful_operators(spark, config, tmp_path):
+def test_anomalies_use_two_stateful_operators(spark, config, tmp_path):
     put(tmp_path / "in", "a", [trade(0)], 1000)
     queries = start_pipeline(stream_session(spark), config)
     for query in queries.values():
         query.awaitTermination()
     assert set(queries) == {"bronze", "silver", "anomalies"}
-    assert len(queries["anomalies"].lastProgress.stateOperators) == 4
+    assert len(queries["anomalies"].lastProgress.stateOperators) == 2
     assert not queries["silver"].lastProgress.stateOperators
 
 
@@ -137,7 +137,7 @@ def test_publisher(spark, config, tmp_path):
 
 def test_processors_need_no_package_on_the_workers(tmp_path):
     pickled = tmp_path / "processor"
-    pickled.write_bytes(cloudpickle.dumps([RollingMeanProcessor(20), PartialsProcessor()]))
+    pickled.write_bytes(cloudpickle.dumps([BarProcessor(20, 300, 5, 60000)]))
     code = f"import pickle; print(pickle.load(open({str(pickled)!r}, 'rb'))[0].windows)"
     run = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True)
     assert run.stdout.strip() == "20", run.stderr

@@ -16,30 +16,42 @@ BAR_COLUMNS = [
 ]
 
 
-# The time is computed, so that in a stream it carries no second watermark mark.
-_TRADE = (
-    "named_struct('event_time', timestamp_micros(unix_micros(event_time)),"
-    " 'trade_id', trade_id, 'price', price, 'quantity', quantity)"
-)
+# Where a trade stands among those of its window, as one number: time of day, then
+# trade id, then a hash of the rest, so that trades of one id have one order too. The
+# time is computed, so that in a stream it carries no second watermark mark.
+_TIE = f"(hash(price, quantity) & {(1 << 24) - 1})"
+_TIME = "timestamp_micros(unix_micros(event_time))"
+_PLACE = f"""(CAST(pmod(unix_micros(event_time), 86400000000) AS DECIMAL(38, 0)) * {1 << 88}BD
+    + CAST(coalesce(trade_id, {-(2**63) + 1} - 1) AS DECIMAL(38, 0)) * {1 << 24}BD
+    + {_TIE})"""
 
 
 def summarise(silver: DataFrame, length: str) -> DataFrame:
     """One row per non-empty (window, symbol), batch or stream.
 
-    ``first`` and ``last`` are the extreme trades by (event time, trade id). They
-    come out of the same aggregate as the sums, so the trades are shuffled once,
-    already combined on the map side. A trade without a maker flag counts on
+    Windows must divide a day. ``first_*`` and ``last_*`` are of the extreme trades by
+    (event time, trade id). They come out of the same aggregate as the sums, so the
+    trades are shuffled once, already combined on the map side; the order of two trades
+    is that of one number (``first_place``, ``last_place``), which a hash aggregate keeps
+    in its buffer, so trades are never sorted. A trade without a maker flag counts on
     neither side. Columns nobody reads are pruned.
     """
-    summary = silver.groupBy(F.window("event_time", length).alias("window"), "symbol").agg(
+    placed = silver.withColumn("place", F.expr(_PLACE))
+    summary = placed.groupBy(F.window("event_time", length).alias("window"), "symbol").agg(
         F.expr("min(price) AS low"),
         F.expr("max(price) AS high"),
         F.expr("sum(quantity) AS volume"),
         F.expr("count(*) AS trade_count"),
         F.expr("sum(IF(NOT is_maker, quantity, 0D)) AS buy_volume"),
         F.expr("sum(IF(is_maker, quantity, 0D)) AS sell_volume"),
-        F.expr(f"min({_TRADE}) AS first"),
-        F.expr(f"max({_TRADE}) AS last"),
+        F.expr("min(place) AS first_place"),
+        F.expr(f"min({_TIME}) AS first_time"),
+        F.expr("min_by(trade_id, place) AS first_id"),
+        F.expr("min_by(price, place) AS first_price"),
+        F.expr("min_by(quantity, place) AS first_quantity"),
+        F.expr("max(place) AS last_place"),
+        F.expr(f"max({_TIME}) AS last_time"),
+        F.expr("max_by(price, place) AS last_price"),
     )
     return summary.selectExpr(
         "window.start AS window_start", "window.end AS window_end", "* EXCEPT (window)"
@@ -47,7 +59,7 @@ def summarise(silver: DataFrame, length: str) -> DataFrame:
 
 
 def with_open_close(summary: DataFrame) -> DataFrame:
-    return summary.selectExpr("*", "first.price AS open_price", "last.price AS close_price")
+    return summary.selectExpr("*", "first_price AS open_price", "last_price AS close_price")
 
 
 def bars(silver: DataFrame, length: str = BAR) -> DataFrame:
@@ -60,22 +72,6 @@ def bursts(silver: DataFrame, length: str = BURST) -> DataFrame:
     )
 
 
-def partials(silver: DataFrame, length: str = BURST) -> DataFrame:
-    """Five-second windows with their first trade and last time, for gaps."""
-    return summarise(silver, length).selectExpr(
-        "window_start",
-        "window_end",
-        "symbol",
-        "trade_count",
-        "volume",
-        "first.event_time AS first_time",
-        "first.trade_id AS first_id",
-        "first.price AS first_price",
-        "first.quantity AS first_quantity",
-        "last.event_time AS last_time",
-    )
-
-
 def price_features(bars: DataFrame) -> DataFrame:
     return bars.selectExpr(
         "*",
@@ -123,8 +119,12 @@ def window_features(silver: DataFrame, windows: int = 20) -> DataFrame:
         F.expr("sum(trade_count) AS trade_count"),
         F.expr("sum(buy_volume) AS buy_volume"),
         F.expr("sum(sell_volume) AS sell_volume"),
-        F.expr("min(first) AS first"),
-        F.expr("max(last) AS last"),
+        F.expr("min(first_time) AS first_time"),
+        F.expr("min_by(first_id, first_place) AS first_id"),
+        F.expr("min_by(first_price, first_place) AS first_price"),
+        F.expr("min_by(first_quantity, first_place) AS first_quantity"),
+        F.expr("max(last_time) AS last_time"),
+        F.expr("max_by(last_price, last_place) AS last_price"),
     )
     timed = with_open_close(rolled).selectExpr(
         "*",
@@ -138,7 +138,7 @@ def window_features(silver: DataFrame, windows: int = 20) -> DataFrame:
         "*",
         "coalesce(burst_end, bar_end) AS window_end",
         f"avg(volume) OVER ({order} ROWS {windows - 1} PRECEDING) AS avg_vol_20",
-        f"lag(last.event_time) OVER ({order}) AS previous_time",
+        f"lag(last_time) OVER ({order}) AS previous_time",
     )
 
 
@@ -161,7 +161,7 @@ def extreme_by_rank(silver: DataFrame, name: str, *, last: bool = False) -> Data
     Spark limits each group to one row before the shuffle, so a hot group sends
     one row per map task.
     """
-    order = [F.col(c) for c in ("event_time", "trade_id", "price", "quantity")]
+    order = [F.col("event_time"), F.col("trade_id"), F.expr(_TIE)]
     group = Window.partitionBy("window_start", "window_end", "symbol").orderBy(
         *(c.desc() if last else c.asc() for c in order)
     )
@@ -176,7 +176,7 @@ def extreme_by_rank(silver: DataFrame, name: str, *, last: bool = False) -> Data
 def bars_by_join(silver: DataFrame) -> DataFrame:
     """Bars as statistics joined with ranked open and close prices."""
     keys = ["window_start", "window_end", "symbol"]
-    stats = summarise(silver, BAR).drop("first", "last")
+    stats = summarise(silver, BAR)
     return (
         stats.join(extreme_by_rank(silver, "open_price"), keys, "inner")
         .join(extreme_by_rank(silver, "close_price", last=True), keys, "inner")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tradeflow.config import Rule, Thresholds
-from tradeflow.operators.bars import BAR_SEC, BURST_SEC, window_features
+from tradeflow.operators.bars import BAR_SEC, BURST_SEC, summarise, window_features
 from tradeflow.operators.silver import to_silver, typed
 from tradeflow.schema import ANOMALY
 
@@ -169,6 +169,12 @@ def intertrade_gap(t: Thresholds, first: dict[str, str], previous: str) -> Findi
     )
 
 
+def gap_slice_sec(t: Thresholds) -> int:
+    """The longest slice of a minute, in whole seconds, in which no gap can lie."""
+    reach = int(t.intertrade_gap.trigger // 1000)
+    return max((s for s in range(1, 61) if 60 % s == 0 and s <= reach), default=1)
+
+
 def burst_of_trades(t: Thresholds) -> Finding:
     """Over five-second windows."""
     rule = t.burst_of_trades
@@ -218,10 +224,10 @@ def data_quality(trades: DataFrame) -> DataFrame:
 
 
 FIRST_TRADE = {
-    "time": "first.event_time",
-    "id": "first.trade_id",
-    "price": "first.price",
-    "quantity": "first.quantity",
+    "time": "first_time",
+    "id": "first_id",
+    "price": "first_price",
+    "quantity": "first_quantity",
 }
 
 
@@ -237,8 +243,20 @@ def window_anomalies(features: DataFrame, t: Thresholds) -> DataFrame:
 
 
 def gap_anomalies(silver: DataFrame, t: Thresholds | None = None) -> DataFrame:
-    features = window_features(silver)
-    return emit(features, [intertrade_gap(t or Thresholds(), FIRST_TRADE, "previous_time")])
+    """Gaps alone, in two shuffles: trades are combined into slices of a symbol, the
+    longest that hold no gap inside, and a slice looks back at the one before it.
+
+    The lag orders slices, not trades: a symbol has one a minute in which it traded,
+    so a hot symbol is no hot task.
+    """
+    t = t or Thresholds()
+    slices = summarise(silver, f"{gap_slice_sec(t)} seconds")
+    lagged = slices.selectExpr(
+        "symbol",
+        *FIRST_TRADE.values(),
+        "lag(last_time) OVER (PARTITION BY symbol ORDER BY window_start) AS previous_time",
+    )
+    return emit(lagged, [intertrade_gap(t, FIRST_TRADE, "previous_time")])
 
 
 def anomalies(trades: DataFrame, t: Thresholds | None = None) -> DataFrame:

@@ -31,12 +31,7 @@ from tradeflow.sources.universe import (
     restrict_to_universe,
     universe_from_lines,
 )
-from tradeflow.streaming.pipeline import (
-    FIRST_TRADE,
-    stream_anomalies,
-    stream_bar_features,
-    stream_partials,
-)
+from tradeflow.streaming.pipeline import stream_anomalies, stream_bars, stream_features
 from tradeflow.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,8 +93,8 @@ def _published(trades: DataFrame) -> DataFrame:
 
 
 def _stream_gaps(trades: DataFrame) -> DataFrame:
-    gap = d.intertrade_gap(T0, FIRST_TRADE, "previous_time")
-    return d.emit(stream_partials(to_silver(trades)), [gap])
+    gap = d.intertrade_gap(T0, d.FIRST_TRADE, "previous_time")
+    return d.emit(stream_features(to_silver(trades)), [gap])
 
 
 QUERIES: dict[str, Query] = {
@@ -158,7 +153,7 @@ QUERIES: dict[str, Query] = {
     "latest_trades": _over_silver(latest_trades),
     "recent_anomalies": _over_trades(lambda t: recent_anomalies(d.anomalies(t))),
     # Streams, replayed to their end
-    "stream_bars": _replayed(lambda t: stream_bar_features(to_silver(t))),
+    "stream_bars": _replayed(lambda t: stream_bars(to_silver(t))),
     "stream_gaps": _replayed(_stream_gaps),
     "stream_anomalies": _replayed(stream_anomalies),
 }

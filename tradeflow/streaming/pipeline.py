@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeflow.config import LAKE, WAREHOUSE, PipelineConfig, Thresholds
-from tradeflow.operators.bars import bars, partials, price_features
-from tradeflow.operators.detect import (
-    bar_findings,
-    burst_of_trades,
-    data_quality,
-    emit,
-    intertrade_gap,
+from tradeflow.operators.bars import (
+    BAR_COLUMNS,
+    BAR_SEC,
+    BURST,
+    BURST_SEC,
+    price_features,
+    summarise,
+    with_open_close,
 )
+from tradeflow.operators.detect import data_quality, window_anomalies
 from tradeflow.operators.silver import anomalies_lake, bronze, silver_lake, to_silver
 from tradeflow.schema import SILVER_PUBLISHED, TRADE
 from tradeflow.session import STATE_STORE, pin_utc
@@ -24,36 +26,30 @@ from tradeflow.sinks.lake import FOLDERS, write_lake
 from tradeflow.sinks.warehouse import write_warehouse
 from tradeflow.sources.trades import publish_trades, read_messages, read_trades, unwrap_envelope
 from tradeflow.sources.universe import load_universe, restrict_to_universe
-from tradeflow.streaming.state import with_avg_volume_stream, with_previous_time_stream
-
-FIRST_TRADE = {
-    "time": "first_time",
-    "id": "first_id",
-    "price": "first_price",
-    "quantity": "first_quantity",
-}
+from tradeflow.streaming.state import BarProcessor, with_bars_stream
 
+def stream_features(silver: DataFrame, t: Thresholds | None = None) -> DataFrame:
+    """Bars with features, five-second windows and gaps, as ``window_features`` in batch.
 
-def stream_bar_features(silver: DataFrame, windows: int = 20) -> DataFrame:
-    return price_features(with_avg_volume_stream(bars(silver), windows))
+    Two stateful operators: the five-second aggregate, and the processor behind it.
+    Windows come as soon as they are closed, bars and gaps at the end of the bar.
+    """
+    t = t or Thresholds()
+    processor = BarProcessor(t.volume_windows, BAR_SEC, BURST_SEC, t.intertrade_gap.trigger)
+    grains = summarise(silver, BURST)
+    return price_features(with_open_close(with_bars_stream(grains, processor)))
 
 
-def stream_partials(silver: DataFrame) -> DataFrame:
-    return with_previous_time_stream(partials(silver))
+def stream_bars(silver: DataFrame, t: Thresholds | None = None) -> DataFrame:
+    features = stream_features(silver, t).where("burst_start IS NULL")
+    return features.select(*BAR_COLUMNS, "pct_change", "range_pct", "avg_vol_20")
 
 
 def stream_anomalies(trades: DataFrame, t: Thresholds | None = None) -> DataFrame:
-    """All seven detectors over a stream of raw trades with a watermark.
-
-    Four stateful operators: the bars and their rolling mean, the five-second
-    windows and their predecessor.
-    """
+    """All seven detectors over a stream of raw trades with a watermark."""
     t = t or Thresholds()
-    silver = to_silver(trades)
-    on_bars = emit(stream_bar_features(silver, t.volume_windows), bar_findings(t))
-    gap = intertrade_gap(t, FIRST_TRADE, "previous_time")
-    on_bursts = emit(stream_partials(silver), [burst_of_trades(t), gap])
-    return on_bars.unionByName(on_bursts).unionByName(data_quality(trades))
+    windowed = window_anomalies(stream_features(to_silver(trades), t), t)
+    return windowed.unionByName(data_quality(trades))
 
 
 def configure(spark: SparkSession, cfg: PipelineConfig) -> SparkSession:

@@ -1,8 +1,7 @@
-"""Keyed state for the two features that look back past a window.
+"""Keyed state for what looks back past a window: bars, their rolling mean, gaps.
 
-Both processors sit behind a windowed aggregate, so they see one row per symbol
-and window, not per trade, and keep a bounded state per symbol. Append mode
-releases windows in watermark order; sorting the rows of one call is enough.
+One processor sits behind the five-second aggregate, so it sees one row per symbol and
+window, not per trade. Nothing in it is ordered but the windows of one bar.
 """
 
 from __future__ import annotations
@@ -20,76 +19,178 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 # Workers receive the processors whole, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-class RollingMeanProcessor(StatefulProcessor):
-    """Mean volume of the last bars of a symbol, the current one included."""
-
-    def __init__(self, windows: int):
+# What the state holds of a five-second window, times in microseconds.
+WINDOW = T.StructType(
+    [
+        T.StructField(name, kind)
+        for name, kind in (
+            ("window_start", T.LongType()), ("low", T.DoubleType()), ("high", T.DoubleType()),
+            ("volume", T.DoubleType()), ("trade_count", T.LongType()),
+            ("buy_volume", T.DoubleType()), ("sell_volume", T.DoubleType()),
+            ("first_time", T.LongType()), ("first_id", T.LongType()),
+            ("first_price", T.DoubleType()), ("first_quantity", T.DoubleType()),
+            ("last_time", T.LongType()), ("last_price", T.DoubleType()),
+        )
+    ]
+)
+
+# What the state holds of a symbol beside its open bars.
+PAST = T.StructType(
+    [
+        T.StructField("volumes", T.ArrayType(T.DoubleType())),
+        T.StructField("last_time", T.LongType()),
+        T.StructField("timer_ms", T.LongType()),
+    ]
+)
+
+# What the processor returns: bars (no ``burst_start``), windows, and windows as gaps.
+FEATURES = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("burst_start", T.LongType()),
+        T.StructField("window_end", T.LongType()),
+        *WINDOW.fields,
+        T.StructField("avg_vol_20", T.DoubleType()),
+        T.StructField("previous_time", T.LongType()),
+    ]
+)
+TIMES = ("burst_start", "window_start", "window_end", "first_time", "last_time", "previous_time")
+
+
+class BarProcessor(StatefulProcessor):
+    """Bars, and gaps inside them, out of the closed five-second windows of a symbol.
+
+    A window goes on at once. When the watermark has passed the end of a bar, all its at
+    most 60 windows have come, and they are folded; windows of a bar that is still open
+    are kept in the state under the bar, and a timer at the end of the first open bar
+    closes it if no further trade comes. A call holds ``held`` windows; those of a
+    longer backlog wait in the state too. Beside open bars the state is the last
+    volumes, the last time and the timer.
+    """
+
+    def __init__(
+        self, windows: int, bar_sec: int, burst_sec: int, gap_ms: float, held: int = 50_000
+    ):
         self.windows = windows
+        self.bar = bar_sec * 1_000_000
+        self.burst = burst_sec * 1_000_000
+        self.gap_ms = gap_ms
+        self.held = held
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        state = T.StructType([T.StructField("volume", T.DoubleType())])
-        self.volumes = handle.getListState("volumes", state)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        recent = [kept[0] for kept in self.volumes.get()] if self.volumes.exists() else []
-        for row in sorted(rows, key=lambda r: r.window_start):
-            recent = [*recent, row.volume][-self.windows :]
-            yield Row(**row.asDict(), avg_vol_20=sum(recent) / len(recent))
-        self.volumes.put([(volume,) for volume in recent])
-
-    def close(self) -> None:
-        pass
-
-
-class PartialsProcessor(StatefulProcessor):
-    """Time of the last trade before each window of a symbol."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        state = T.StructType([T.StructField("last_time", T.LongType())])
-        self.last_time = handle.getValueState("last_time", state)
+        self.handle = handle
+        start = T.StructType([T.StructField("bar_start", T.LongType())])
+        windows = T.StructType([T.StructField("windows", T.ArrayType(WINDOW))])
+        self.open = handle.getMapState("open_bars", start, windows)
+        self.past = handle.getValueState("past", PAST)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        previous = self.last_time.get()[0] if self.last_time.exists() else None
-        for row in sorted(rows, key=lambda r: r.window_start):
-            yield Row(**row.asDict(), previous_time=previous)
-            previous = row.last_time
-        self.last_time.update((previous,))
+        stored = {bar for (bar,) in self.open.keys()}
+        bars: dict[int, list[tuple]] = {}
+        count = 0
+        for row in rows:
+            window = tuple(row[name] for name in WINDOW.fieldNames())
+            start = row["window_start"]
+            bars.setdefault(start - start % self.bar, []).append(window)
+            count += 1
+            if count % self.held == 0:
+                self._keep(bars, stored)
+            yield Row(*FEATURES.fieldNames())(
+                key[0], start, start + self.burst, *window, None, None
+            )
+        yield from self._close(key, bars, stored, timerValues)
+
+    def handleExpiredTimer(
+        self, key: Any, timerValues: Any, expiredTimerInfo: Any
+    ) -> Iterator[Row]:
+        stored = {bar for (bar,) in self.open.keys()}
+        yield from self._close(key, {}, stored, timerValues)
+
+    def _keep(self, bars: dict[int, list[tuple]], stored: set[int]) -> None:
+        """Move windows from memory to the state."""
+        for bar, windows in bars.items():
+            if bar in stored:
+                windows = [*map(tuple, self.open.getValue((bar,))[0]), *windows]
+            self.open.updateValue((bar,), (windows,))
+        stored |= bars.keys()
+        bars.clear()
+
+    def _close(
+        self, key: Any, bars: dict[int, list[tuple]], stored: set[int], timerValues: Any
+    ) -> Iterator[Row]:
+        """Fold, in order, the bars that the watermark has passed; keep the others."""
+        closed = timerValues.getCurrentWatermarkInMs() * 1000 - self.bar
+        recent, previous, timer = self.past.get() or ([], None, None)
+        recent = list(recent)
+        for bar in sorted(b for b in stored | bars.keys() if b <= closed):
+            windows = bars.pop(bar, [])
+            if bar in stored:
+                windows += map(tuple, self.open.getValue((bar,))[0])
+                self.open.removeKey((bar,))
+                stored.discard(bar)
+            windows.sort(key=lambda w: w[0])
+            folded = [dict(zip(WINDOW.fieldNames(), w, strict=True)) for w in windows]
+            yield from self._gaps(key, folded)
+            whole = self._whole(bar, folded)
+            recent = [*recent, whole["volume"]][-self.windows :]
+            yield Row(*FEATURES.fieldNames())(
+                key[0], None, bar + self.bar, *whole.values(), sum(recent) / len(recent), previous
+            )
+            previous = whole["last_time"]
+        self._keep(bars, stored)
+        due = (min(stored) + self.bar) // 1000 if stored else None
+        if due is not None and due != timer:
+            self.handle.registerTimer(due)
+        self.past.update((recent, previous, due))
+
+    def _gaps(self, key: Any, windows: list[dict]) -> Iterator[Row]:
+        """Windows of a bar whose first trade comes long after the window before."""
+        for before, window in zip(windows, windows[1:], strict=False):
+            seconds = window["first_time"] // 1_000_000 - before["last_time"] // 1_000_000
+            if seconds * 1000 >= self.gap_ms:
+                start = window["window_start"]
+                as_gap = {**window, "trade_count": 0}  # the window itself has gone on already
+                yield Row(*FEATURES.fieldNames())(
+                    key[0], start, start + self.burst, *as_gap.values(), None, before["last_time"]
+                )
+
+    @staticmethod
+    def _whole(bar: int, windows: list[dict]) -> dict:
+        return {
+            **windows[0],
+            "window_start": bar,
+            "low": min(w["low"] for w in windows),
+            "high": max(w["high"] for w in windows),
+            "last_time": windows[-1]["last_time"],
+            "last_price": windows[-1]["last_price"],
+            **{
+                name: sum(w[name] for w in windows)
+                for name in ("volume", "trade_count", "buy_volume", "sell_volume")
+            },
+        }
 
     def close(self) -> None:
         pass
 
 
-def _times_as(df: DataFrame, schema: T.StructType, convert) -> DataFrame:
-    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({name: convert(name) for name in times if name in df.columns})
-
+def with_bars_stream(windows: DataFrame, processor: BarProcessor) -> DataFrame:
+    """Bars, windows and gaps out of a stream of closed five-second windows.
 
-def _look_back(df: DataFrame, processor: StatefulProcessor, added: T.StructField) -> DataFrame:
-    """Apply a processor per symbol. Times cross to Python as microseconds, so no
-    time zone of a worker can touch them."""
-    schema = T.StructType([*df.schema.fields, added])
-    plain = _times_as(df, schema, F.unix_micros)
-    output = T.StructType(
-        [
-            T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
-            for f in schema.fields
-        ]
+    Times cross to Python as microseconds, so no time zone of a worker can touch them;
+    ``closed_at`` alone stays a time, because it carries the watermark of the timers.
+    """
+    plain = windows.select(
+        "symbol",
+        F.col("window_end").alias("closed_at"),
+        *(
+            F.unix_micros(f.name).alias(f.name) if f.name in TIMES else F.col(f.name)
+            for f in WINDOW.fields
+        ),
     )
     result = plain.groupBy("symbol").transformWithState(
         statefulProcessor=processor,
-        outputStructType=output,
+        outputStructType=FEATURES,
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime",
     )
-    return _times_as(result, schema, F.timestamp_micros)
-
-
-def with_avg_volume_stream(bars: DataFrame, windows: int = 20) -> DataFrame:
-    added = T.StructField("avg_vol_20", T.DoubleType())
-    return _look_back(bars, RollingMeanProcessor(windows), added)
-
-
-def with_previous_time_stream(partials: DataFrame) -> DataFrame:
-    added = T.StructField("previous_time", T.TimestampType())
-    return _look_back(partials, PartialsProcessor(), added)
+    return result.withColumns({name: F.timestamp_micros(name) for name in TIMES})

@@ -6,24 +6,24 @@ import base64
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm.common import ship, tidy
-from tradeflow.llm.merges import has_unknown, loaded, plain_pieces, slices
+from tradeflow.llm.merges import has_unknown, loaded, plain_pieces
 
 MEMORY = "400MB"
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 LONG = 48  # bytes; longer pieces are contracted at many places a step
 ROWS = 200_000  # token rows of one recursive query
 STEPS_OF_ROWS = 4_000_000  # rows that the steps of a query may hold together
-SLICE = 1_500_000
 # A run of white space of which a space is a part: only there does a piece depend on
 # more than the text between two spaces.
 MIXED_SPACE = re.compile(r" \s|\s ")
@@ -113,7 +113,7 @@ SELECT d.w, count(*) AS n, string_agg(d.t::VARCHAR, ',' ORDER BY d.p) AS ids,
 FROM done d JOIN tokens k ON k.t = d.t GROUP BY d.w ORDER BY d.w
 """
 
-Encoded = tuple[int, bytes, bytes]  # number of tokens, their ids joined by commas, their bytes
+Encoded = tuple[bytes, bytes]  # token ids, a comma behind each, and the bytes they stand for
 
 
 class RankedMerges:
@@ -180,13 +180,15 @@ class RankedMerges:
             held += len(word)
             if held >= ROWS or stop == len(words):
                 self._contract(query, words[start:stop])
-                for _, n, ids, spelled in self.db.execute(DECODED).fetchall():
-                    yield n, ids.encode(), bytes.fromhex(spelled)
+                for _, _, ids, spelled in self.db.execute(DECODED).fetchall():
+                    yield ids.encode() + b",", bytes.fromhex(spelled)
                 start, held = stop, 0
 
     def encode(self, pieces: list[bytes]) -> list[Encoded]:
         """Tokens of pieces of one byte or more; a piece that is a token stays whole."""
-        short, long, shares = [], [], []
+        short: list[np.ndarray] = []
+        long: list[np.ndarray] = []
+        shares = []
         for i, piece in enumerate(pieces):
             rank = self.ranks.get(piece)
             if rank is not None:
@@ -226,11 +228,7 @@ class RankedMerges:
 
 
 def _joined(parts: list[Encoded]) -> Encoded:
-    return (
-        sum(p[0] for p in parts),
-        b",".join([p[1] for p in parts if p[0]]),
-        b"".join([p[2] for p in parts]),
-    )
+    return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
 
 
 class Splitter:
@@ -267,47 +265,113 @@ class Splitter:
         return [text[m.start() : m.end()] for m in self.pattern.finditer(known)]
 
 
+class Remembered(dict):
+    """Encodings by text. When there are too many, those not asked for again go."""
+
+    def __init__(self):
+        super().__init__()
+        self.again: set[str] = set()
+
+    def ask(self, names: set[str]) -> set[str]:
+        """The names that are not known; the others are noted as asked for again."""
+        new = names - self.keys()
+        self.again |= names - new
+        return new
+
+    def shrink(self) -> None:
+        if len(self) > REMEMBERED:
+            kept = {k: self[k] for k in self.again}
+            self.clear()
+            if len(kept) <= REMEMBERED // 2:
+                self.update(kept)
+            self.again = set()
+
+
 class RankedCodec:
     """Whole texts: splits, encodes each distinct piece once, and joins."""
 
     def __init__(self, path: str, pattern: str):
         self.merges = RankedMerges(path)
         self.split = Splitter(pattern)
-        self.chunks: dict[str, Encoded] = {}
-        self.pieces: dict[str, Encoded] = {}
-
-    def _keys(self, text: str) -> list[str]:
-        """Parts of a text that are split alone: from a space to the next, or all of it."""
-        if MIXED_SPACE.search(text) or text.endswith(" "):
-            return self.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[f" {chunk}" for chunk in rest]]
-
-    def _pieces_of(self, key: str) -> list[str]:
-        if key[:1] == " " and (plain := plain_pieces(key[1:])):
-            return [f" {plain[0]}", plain[1]] if plain[1] else [f" {plain[0]}"]
-        return self.split(key)
-
-    def _learn(self, keys: set[str]) -> None:
-        new = {k: self._pieces_of(k) for k in keys if k not in self.chunks}
-        wanted = {p for pieces in new.values() for p in pieces}
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {p: self.pieces[p] for p in wanted if p in self.pieces}
-        unknown = [p for p in wanted if p not in self.pieces]
-        encoded = self.merges.encode([p.encode() for p in unknown])
-        self.pieces.update(zip(unknown, encoded, strict=True))
-        if len(self.chunks) > REMEMBERED:
-            self.chunks = {k: self.chunks[k] for k in keys if k in self.chunks}
-        for key, pieces in new.items():
-            found = [self.pieces[p] for p in pieces]
-            self.chunks[key] = found[0] if len(found) == 1 else _joined(found)
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[Encoded]:
-        for part in slices((t or "" for t in texts), SLICE):
-            split = [self._keys(t) if t else [] for t in part]
-            self._learn(set().union(*split))
-            for keys in split:
-                yield _joined([self.chunks[k] for k in keys])
+        self.known = Remembered()
+
+    def _pieces(self, chunk: str) -> list[str]:
+        """The pieces of a space and what follows it up to the next."""
+        plain = plain_pieces(chunk[1:])
+        if plain is None:
+            return self.split(chunk)
+        return [f" {plain[0]}", plain[1]] if plain[1] else [f" {plain[0]}"]
+
+    def _encoded(self, chunks: list[str], others: list[str], pieces: list[str]) -> list[Encoded]:
+        """Encodings of chunks that start with a space, of other text, and of pieces.
+
+        Pieces are remembered, combinations of them are joined anew.
+        """
+        known = self.known
+        parts = [[c] if c in known else self._pieces(c) for c in chunks]
+        parts += [self.split(text) for text in others]
+        parts += [[piece] for piece in pieces]
+        single = {piece for found in parts for piece in found}
+        new = list(known.ask(single))
+        known.update(zip(new, self.merges.encode([p.encode() for p in new]), strict=True))
+        result = [
+            known[found[0]] if len(found) == 1 else _joined([known[p] for p in found])
+            for found in parts
+        ]
+        known.shrink()
+        return result
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[int, memoryview, memoryview]]:
+        """(number of tokens, ids joined by commas, decoded bytes) of each text.
+
+        A text is cut before its spaces and the distinct parts are numbered in Arrow.
+        What stands together in a text then stands together in memory, so ids and bytes
+        are digested without a copy. Where a space touches other white space, pieces
+        depend on more than one part, and the text is split as a whole.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        values = texts.to_pylist()
+        mixed = [bool(MIXED_SPACE.search(t)) or t.endswith(" ") for t in values]
+        plain = [i for i, m in enumerate(mixed) if not m and values[i]]
+        cut = pc.split_pattern(texts.take(pa.array(plain, pa.int64())), " ")
+        offsets = cut.offsets.to_numpy()
+        numbered = cut.flatten().dictionary_encode()
+        number = numbered.indices.to_numpy().astype(np.int64)
+        chunks = [f" {c}" for c in numbered.dictionary.to_pylist()]
+        others: dict[str, int] = {}
+        for i, at in zip(plain, offsets[:-1].tolist(), strict=True):
+            first = values[i].split(" ", 1)[0]
+            number[at] = others.setdefault(first, len(chunks) + len(others))
+        base = len(chunks) + len(others)
+        pieces: dict[str, int] = {}
+        rows: list[np.ndarray] = [number[:0]] * len(values)
+        for k, i in enumerate(plain):
+            rows[i] = number[offsets[k] : offsets[k + 1]]
+        for i, m in enumerate(mixed):
+            if m:
+                rows[i] = np.array(
+                    [pieces.setdefault(p, base + len(pieces)) for p in self.split(values[i])]
+                )
+        used = np.zeros(len(chunks), bool)
+        used[number[number < len(chunks)]] = True
+        wanted = [c if u else " " for c, u in zip(chunks, used.tolist(), strict=True)]
+        encoded = self._encoded(wanted, list(others), list(pieces))
+        counts = np.array([e[0].count(b",") for e in encoded], np.int64)
+        order = np.concatenate(rows) if rows else number
+        ends = np.cumsum([len(r) for r in rows])
+        total = np.concatenate([[0], np.cumsum(counts[order])])
+        spans = []
+        for k in (0, 1):
+            taken = pa.array([e[k] for e in encoded], pa.large_binary()).take(pa.array(order))
+            _, at, data = taken.buffers()
+            view = memoryview(data or b"").cast("B")
+            spans.append((np.frombuffer(at, np.int64), view))
+        start = 0
+        for stop in ends.tolist():
+            (at, ids), (place, decoded) = spans
+            n = int(total[stop] - total[start])
+            yield n, ids[at[start] : at[stop] - (n > 0)], decoded[place[start] : place[stop]]
+            start = stop
 
 
 def _codec(path: str, pattern: str) -> RankedCodec:
@@ -338,12 +402,12 @@ def encode_ranked(
         codec = _codec(path, pattern)
         for batch in batches:
             columns: list[list] = [[], [], [], []]
-            for n, ids, decoded in codec.encode(batch.to_pylist()):
+            for n, ids, decoded in codec.encode(batch):
                 columns[0].append(n)
                 columns[1].append(hashlib.sha256(ids).hexdigest())
                 columns[2].append(hashlib.sha256(decoded).hexdigest())
                 if with_ids:
-                    columns[3].append(np.array(ids.split(b","), np.int32) if n else [])
+                    columns[3].append(np.array(bytes(ids).split(b","), np.int32) if n else [])
             kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]

@@ -117,7 +117,11 @@ def test_environment():
     )
     assert kafka_options(cfg) == {
         "kafka.bootstrap.servers": "k:1", "subscribe": "t", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "5000000",
     }
+    bounded = PipelineConfig.from_env({"MAX_OFFSETS_PER_TRIGGER": "7", "MAX_FILES_PER_TRIGGER": "0"})
+    assert kafka_options(bounded)["maxOffsetsPerTrigger"] == "7"
+    assert bounded.max_files_per_trigger == 0
     assert cfg.targets == {"lake", "warehouse"}
     assert cfg.lake_path == "s3a://b"
     assert cfg.jdbc.url == "jdbc:clickhouse://c:8123/trading"

@@ -20,6 +20,8 @@ from tradeflow.sinks.lake import (
     read_lake,
     write_lake,
 )
+from tradeflow.sinks.ledger import retried, write_once
+from tradeflow.sinks.spread import spread
 from tradeflow.sinks.warehouse import (
     LAYOUTS,
     arranged,
@@ -43,13 +45,13 @@ def raw(spark):
     cached.unpersist()
 
 
-@pytest.mark.parametrize("salt", [None, 3])
+@pytest.mark.parametrize("salt", [None, 300])
 def test_lake_round_trip(spark, raw, tmp_path, salt):
     path = str(tmp_path)
     silver, findings = silver_lake(to_silver(raw)), anomalies_lake(anomalies(raw))
-    write_lake(bronze(raw), f"{path}/b", salt_buckets=salt)
-    write_lake(silver, f"{path}/s", salt_buckets=salt, shuffle=salt is None)
-    write_lake(findings, f"{path}/a", salt_buckets=salt)
+    write_lake(bronze(raw), f"{path}/b", rows_per_task=salt)
+    write_lake(silver, f"{path}/s", rows_per_task=salt, shuffle=salt is None)
+    write_lake(findings, f"{path}/a", rows_per_task=salt)
     assert same_rows(parse_trades(read_lake(spark, f"{path}/b", BRONZE_LAKE)), raw)
     assert same_rows(read_lake(spark, f"{path}/s", SILVER_LAKE), silver)
     assert same_rows(read_lake(spark, f"{path}/a", ANOMALY_LAKE), findings)
@@ -68,7 +70,7 @@ def test_times_are_iso_and_nulls_explicit(spark, tmp_path):
 def test_a_repeated_batch_replaces_itself(spark, raw, tmp_path):
     silver = silver_lake(to_silver(raw))
     for batch_id in (0, 1, 1):
-        write_lake(silver, f"{tmp_path}/lake", batch_id=batch_id, salt_buckets=2)
+        write_lake(silver, f"{tmp_path}/lake", batch_id=batch_id, rows_per_task=500)
         write_warehouse(to_silver(raw).select(SILVER_PUBLISHED), "silver", str(tmp_path), batch_id=batch_id)
     assert same_rows(read_lake(spark, f"{tmp_path}/lake", SILVER_LAKE), silver.union(silver))
     assert spark.read.parquet(f"{tmp_path}/silver").count() == 2 * silver.count()
@@ -85,7 +87,7 @@ def hot_rows(spark):
     "salt, settings",
     [
         # As in a stream.
-        (8, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}),
+        (5_000, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "2"}),
         # As in a batch, with a size that this little data exceeds.
         (None, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4000"}),
     ],
@@ -95,7 +97,7 @@ def test_a_hot_hour_is_written_by_several_tasks(spark, tmp_path, salt, settings)
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        write_lake(hot_rows(spark), str(tmp_path), salt_buckets=salt)
+        write_lake(hot_rows(spark), str(tmp_path), rows_per_task=salt)
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
@@ -117,11 +119,14 @@ def test_compaction(spark, raw, tmp_path):
     source, target = f"{tmp_path}/s", f"{tmp_path}/t"
     silver = silver_lake(to_silver(raw))
     for batch_id, part in enumerate(silver.randomSplit([1.0, 1.0, 1.0], seed=1)):
-        write_lake(part, source, batch_id=batch_id, salt_buckets=3)
+        write_lake(part, source, batch_id=batch_id, rows_per_task=300)
     lake = read_lake(spark, source, SILVER_LAKE)
     closed = partition_manifest(lake, "event_time").where("complete")
-    for _ in range(2):  # a repeated run changes nothing
-        compact_partitions(spark, source, target, SILVER_LAKE, closed)
+    first = compact_partitions(spark, source, target, SILVER_LAKE, closed)
+    assert first.count() == closed.count()
+    before = set(glob.glob(f"{target}/dt=*/*/part-*"))
+    assert compact_partitions(spark, source, target, SILVER_LAKE, closed).count() == 0
+    assert set(glob.glob(f"{target}/dt=*/*/part-*")) == before  # nothing was written again
     compacted = read_lake(spark, target, SILVER_LAKE)
     assert same_rows(compacted, lake.join(closed, PARTITIONS, "left_semi").select(SILVER_LAKE.fieldNames()))
     assert partition_files(spark, target).agg(F.max("files")).first()[0] == 1
@@ -129,6 +134,73 @@ def test_compaction(spark, raw, tmp_path):
     # Small target files: an hour is split over several.
     compact_partitions(spark, source, f"{tmp_path}/u", SILVER_LAKE, closed, file_bytes=2000)
     assert same_rows(read_lake(spark, f"{tmp_path}/u", SILVER_LAKE), compacted)
+    # A late batch makes its hours due again, and only those.
+    rows = compacted.count()
+    late = silver.where("hour_bucket = '03'").limit(1)
+    write_lake(late, source, batch_id=9, rows_per_task=300)
+    again = compact_partitions(spark, source, target, SILVER_LAKE, closed)
+    assert [r.hour_bucket for r in again.collect()] == ["03"]
+    assert read_lake(spark, target, SILVER_LAKE).count() == rows + 1
+
+
+@pytest.mark.parametrize("files", [1, 7])
+def test_compacted_files_keep_their_size(spark, tmp_path, files):
+    source, target = f"{tmp_path}/s", f"{tmp_path}/t"
+    rows = spark.range(0, 30_000, 1, files).selectExpr(
+        "concat('line ', id) AS value", "'2024-01-01' AS dt",
+        "if(id % 3 = 0, '10', '11') AS hour_bucket",
+    )
+    write_lake(rows, source, shuffle=False)
+    closed = rows.select(*PARTITIONS).distinct()
+    compact_partitions(spark, source, target, BRONZE_LAKE, closed, file_bytes=40_000)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{target}/dt=*/*/part-*")]
+    assert max(sizes) <= 60_000 and len(sizes) >= sum(sizes) / 60_000
+    assert same_rows(read_lake(spark, target, BRONZE_LAKE), rows)
+
+
+def test_a_hot_key_gets_tasks_in_proportion(spark):
+    rows = spark.range(0, 11_000, 1, 4).selectExpr("id", "if(id < 1000, 'cold', 'hot') AS k")
+    tasks = spread(rows, ["k"], 1000).withColumn("task", F.spark_partition_id())
+    counts = {(r.k, r.task): r["count"] for r in tasks.groupBy("k", "task").count().collect()}
+    assert sum(k == "hot" for k, _ in counts) == 10 and sum(k == "cold" for k, _ in counts) == 1
+    assert max(counts.values()) <= 1100
+    few = spread(rows.where("id % 100 = 0"), ["id"], 1000)  # many small keys share a task
+    assert few.rdd.getNumPartitions() == 1
+    assert spread(rows.limit(0), ["k"], 1000).count() == 0
+
+
+def test_a_repeated_batch_is_not_appended_twice(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id", "id % 7 AS x")
+    written, waits = [], []
+    state = {"failures": 2, "die": True}
+
+    def append(part):
+        if state["failures"]:
+            state["failures"] -= 1
+            raise OSError("no connection")
+        if state["die"] and len(written) > 300:
+            raise KeyboardInterrupt  # the driver ends here
+        written.extend(r.id for r in part.collect())
+
+    ledger = str(tmp_path / "ledger")
+    with pytest.raises(KeyboardInterrupt):
+        write_once(rows, append, ledger, rows_per_piece=200, sleep=waits.append)
+    assert waits == [1.0, 2.0] and 300 < len(written) < 1000
+    state["die"] = False
+    assert 0 < write_once(rows.repartition(3), append, ledger, rows_per_piece=200) < 5
+    assert write_once(rows, append, ledger, rows_per_piece=200) == 0
+    assert sorted(written) == list(range(1000))
+
+
+def test_retries_end(spark):
+    waits = []
+
+    def fail():
+        raise OSError
+
+    with pytest.raises(OSError):
+        retried(fail, retries=3, sleep=waits.append)
+    assert waits == [1.0, 2.0, 4.0]
 
 
 def test_warehouse_types(spark):

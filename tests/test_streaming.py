@@ -1,7 +1,9 @@
 """The running pipeline: parity with batch, late trades, restarts, routing."""
 
 import dataclasses
+import json
 import os
+import shutil
 import subprocess
 import sys
 
@@ -14,11 +16,17 @@ from tradeflow.operators.bars import bars
 from tradeflow.operators.detect import anomalies
 from tradeflow.operators.silver import anomalies_lake, silver_lake, to_silver
 from tradeflow.schema import ANOMALY, ANOMALY_LAKE, BRONZE_LAKE, SILVER_LAKE
-from tradeflow.sinks.lake import FOLDERS, read_lake
-from tradeflow.sources.trades import parse_trades, read_trades
-from tradeflow.streaming.pipeline import configure, run_pipeline, start_pipeline, start_publisher
+from tradeflow.sinks.lake import FOLDERS, REJECTS, read_lake
+from tradeflow.sources.trades import judge_messages, parse_trades, read_messages, read_trades
+from tradeflow.streaming.pipeline import (
+    checkpoint_root,
+    configure,
+    run_pipeline,
+    start_pipeline,
+    start_publisher,
+)
 from tradeflow.streaming.replay import FAR_FUTURE_MS, FLUSH, stream_session
-from tradeflow.streaming.state import BarProcessor
+from tradeflow.streaming.state import WINDOW, BarProcessor
 
 MINUTE = 60_000
 FLUSH_ROW = trade(FAR_FUTURE_MS - BASE_MS, symbol=FLUSH)
@@ -43,7 +51,7 @@ def config(tmp_path):
         checkpoint_root=str(tmp_path / "checkpoints"),
         trigger=None,
         state_partitions=2,
-        salt_buckets=2,
+        rows_per_write_task=100,
     )
 
 
@@ -92,9 +100,152 @@ def test_anomalies_use_two_stateful_operators(spark, config, tmp_path):
     queries = start_pipeline(stream_session(spark), config)
     for query in queries.values():
         query.awaitTermination()
-    assert set(queries) == {"bronze", "silver", "anomalies"}
+    assert set(queries) == {"landing", "anomalies"}
     assert len(queries["anomalies"].lastProgress.stateOperators) == 2
-    assert not queries["silver"].lastProgress.stateOperators
+    assert not queries["landing"].lastProgress.stateOperators
+
+
+def test_every_message_lands_as_bronze_or_as_a_reject(spark, config, tmp_path):
+    good = [message(trade(1)), '{"x":{"y":[1, 2]}, ' + message(trade(2))[1:] + "  ", "{}",
+            message(trade(None, trade_id=3))]
+    bad = ["{broken", "", "[]", '"text"', "{broken"]
+    (tmp_path / "in" / "a.txt").write_text("\n".join(good + bad) + "\n")
+    run_pipeline(stream_session(spark), dataclasses.replace(config, sink_target="lake"))
+    bronze = [json.loads(r.value) for r in read_lake(spark, f"{config.lake_path}/{FOLDERS['bronze']}", BRONZE_LAKE).collect()]
+    kept = {r.get("t"): r for r in bronze}
+    assert len(bronze) == len(good) and kept[2]["x"] == {"y": [1, 2]}
+    assert kept[1]["ts"] == "2024-01-01T10:00:00.001" and kept[3]["ts"] is None
+    lost = spark.read.json(f"{config.lake_path}/{REJECTS}")
+    assert sorted(lost.collect(), key=str)[0].reason == "bad_json"
+    assert sorted(r.message for r in lost.collect()) == sorted(bad)
+
+
+def test_a_backlog_is_read_in_parts_by_default(spark, config, tmp_path):
+    default = PipelineConfig().max_files_per_trigger
+    for i in range(100):
+        put(tmp_path / "in", f"f{i}", [trade(i)], 1000 + i)
+    cfg = dataclasses.replace(config, max_files_per_trigger=default)
+    judged = judge_messages(read_messages(stream_session(spark), cfg))
+    counts = []
+    (
+        judged.writeStream.option("checkpointLocation", f"{tmp_path}/c")
+        .trigger(availableNow=True)
+        .foreachBatch(lambda batch, n: counts.append(batch.count()))
+        .start()
+        .awaitTermination()
+    )
+    assert len(counts) >= 4 and sum(counts) == 100 and max(counts) <= default
+
+
+def test_a_failing_stream_ends_the_others(spark, config, tmp_path):
+    put(tmp_path / "in", "a", [trade(0)], 1000)
+    cfg = dataclasses.replace(config, lake_path="nowhere://x", sink_target="lake")
+    session = stream_session(spark)
+    with pytest.raises(Exception):  # noqa: B017
+        run_pipeline(session, cfg)
+    assert not session.streams.active
+
+
+def test_checkpoint_root_is_shared_and_absolute(spark, config):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_root(spark, PipelineConfig()) == f"{shared}/tradeflow-streams"
+    with pytest.raises(ValueError):
+        checkpoint_root(spark, PipelineConfig(checkpoint_root="checkpoints"))
+
+
+def test_state_can_be_read_and_moved(spark, config, tmp_path):
+    """The volumes in the state are those of batch, and a moved checkpoint goes on."""
+    folder, (first, second) = tmp_path / "in", history()
+    put(folder, "a", first, 1000)
+    put(folder, "b", second[:50], 2000)
+    session = stream_session(spark)
+    run_pipeline(session, config)
+    state = session.read.format("statestore").option("path", f"{config.checkpoint_root}/anomalies")
+    state = state.option("operatorId", 0).option("stateVarName", "past").load()
+    volumes = {r.key[0]: r.value.volumes for r in state.collect()}
+    closed = bars(to_silver(trades(spark, first))).orderBy("window_start").collect()
+    assert volumes["AAA"] == [r.volume for r in closed][-20:]
+
+    moved = dataclasses.replace(config, checkpoint_root=str(tmp_path / "moved"))
+    shutil.copytree(config.checkpoint_root, moved.checkpoint_root)
+    put(folder, "c", second[50:], 3000)
+    put(folder, "d", [FLUSH_ROW], 4000)
+    run_pipeline(session, moved)
+    found = read_lake(spark, f"{config.lake_path}/{FOLDERS['anomalies']}", ANOMALY_LAKE)
+    expected = anomalies_lake(anomalies(trades(spark, first + second)))
+    assert same_rows(found.where(f"symbol IS NULL OR symbol <> '{FLUSH}'"), expected)
+
+
+class FakeState:
+    """The state of one key in memory, counting what is held in it."""
+
+    def __init__(self):
+        self.bars, self.value, self.timers = {}, None, []
+
+    def getMapState(self, *_):  # noqa: N802
+        return self
+
+    def getValueState(self, *_):  # noqa: N802
+        outer = self
+
+        class Value:
+            def get(self):
+                return outer.value
+
+            def update(self, value):
+                outer.value = value
+
+        return Value()
+
+    def registerTimer(self, when):  # noqa: N802
+        self.timers.append(when)
+
+    def keys(self):
+        return iter(list(self.bars))
+
+    def getValue(self, key):  # noqa: N802
+        return self.bars[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.bars[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        del self.bars[key]
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+
+def test_a_long_backlog_of_one_symbol_is_held_in_the_state(monkeypatch):
+    """500,000 windows in any order: memory holds 20,000, and the bars are right."""
+    held = []
+    keep = BarProcessor._keep
+    monkeypatch.setattr(
+        BarProcessor, "_keep",
+        lambda self, bars, stored: (held.append(sum(map(len, bars.values()))), keep(self, bars, stored))[1],
+    )
+    state = FakeState()
+    processor = BarProcessor(20, 300, 5, 60_000, held=20_000)
+    processor.init(state)
+    n = 500_000
+    starts = [(i * 7919 % n) * 5_000_000 for i in range(n)]
+    rows = (
+        dict(zip(WINDOW.fieldNames(), (s, 1.0, 2.0, s / 5e6, 1, 1.0, 0.0, s, s, 1.5, 1.0, s + 1, 1.6), strict=True))
+        for s in starts
+    )
+    state.watermark = (n - 30) * 5_000  # half of the last bar is open
+    found = [r for r in processor.handleInputRows(("A",), rows, state) if r.burst_start is None]
+    assert len(found) == n // 60 and max(held) <= 20_000
+    assert [r.window_start for r in found] == [k * 300_000_000 for k in range(len(found))]
+    volumes = [sum(range(k * 60, k * 60 + 60)) for k in range(len(found))]
+    assert [r.volume for r in found] == volumes
+    assert found[-1].avg_vol_20 == sum(volumes[-20:]) / 20
+    assert all(b.previous_time == a.last_time for a, b in zip(found, found[1:], strict=False))
+    assert [len(v[0]) for v in state.bars.values()] == [n - n // 60 * 60]
+    state.watermark = n * 5_000
+    state.watermark += 300_000
+    (last,) = processor.handleExpiredTimer(("A",), state, None)
+    assert last.trade_count == n - n // 60 * 60 and not state.bars
 
 
 def test_late_trades(spark, config, tmp_path):
@@ -124,15 +275,25 @@ def test_unknown_target_starts_nothing(spark, config):
     assert not spark.streams.active
 
 
-def test_publisher(spark, config, tmp_path):
+def test_publisher_passes_on_what_came_and_keeps_the_rest(spark, config, tmp_path):
     (tmp_path / "symbols.txt").write_text("aaa\n")
-    rows = [trade(1), trade(2, symbol="BBB"), trade(3)]
-    lines = ['{"stream":"%s","data":%s}' % (r[2], message(r)) for r in rows] + ["{broken"]
-    (tmp_path / "in" / "a.txt").write_text("\n".join(lines))
+    rows = [trade(1), trade(2, symbol="BBB"), trade(3), trade(4, symbol=None)]
+    names = ["aaa", "bbb", "AAA", "aaa"]
+    lines = [
+        '{"stream":"%s@trade","data":%s}' % (n, message(r)[:-1] + ', "new":{"a":[1]}}')
+        for n, r in zip(names, rows, strict=True)
+    ]
+    bad = ["{broken", '{"stream":"aaa@trade"}', '{"stream":"aaa@trade","data":{}}',
+           '{"stream":"aaa@trade","data":[1]}', lines[1]]
+    (tmp_path / "in" / "a.txt").write_text("\n".join([lines[0], *lines[2:], *bad]))
     cfg = dataclasses.replace(config, symbol_files=(str(tmp_path / "symbols.txt"),))
     start_publisher(stream_session(spark), cfg, target=str(tmp_path / "out")).awaitTermination()
-    published = parse_trades(spark.read.text(str(tmp_path / "out")))
-    assert same_rows(published, trades(spark, [rows[0], rows[2]]))
+    text = spark.read.text(str(tmp_path / "out"))
+    assert all(json.loads(r.value)["new"] == {"a": [1]} for r in text.collect())
+    assert same_rows(parse_trades(text), trades(spark, [rows[0], *rows[2:]]))
+    lost = {r.message: r.reason for r in spark.read.json(f"{config.lake_path}/{REJECTS}").collect()}
+    reasons = ["bad_json", "no_data", "empty_data", "no_object", "not_subscribed"]
+    assert lost == dict(zip(bad, reasons, strict=True))
 
 
 def test_processors_need_no_package_on_the_workers(tmp_path):

@@ -63,9 +63,10 @@ class PipelineConfig:
     # Source: a Kafka topic, or a folder of text files with one message a line.
     kafka_servers: str = "localhost:9092"
     kafka_topic: str = "trades"
-    max_offsets_per_trigger: int | None = None
+    # Bounds of one batch, so that a backlog is read in parts; 0 is no bound.
+    max_offsets_per_trigger: int = 5_000_000
     source_path: str | None = None
-    max_files_per_trigger: int | None = None
+    max_files_per_trigger: int = 32
     symbol_files: tuple[str, ...] = ()
     shard_size: int = 1000
 
@@ -77,11 +78,12 @@ class PipelineConfig:
     bronze_to_warehouse: bool = False
     silver_batch_rows: int = 10_000
     anomaly_batch_rows: int = 3_000
+    warehouse_retries: int = 3
     max_records_per_file: int = 2_000_000
-    salt_buckets: int = 8
+    rows_per_write_task: int = 500_000
 
     # Stream.
-    checkpoint_root: str = "checkpoints"
+    checkpoint_root: str | None = None  # None: below spark.checkpoint.dir, which must be shared
     watermark: str = "5 seconds"
     trigger: str | None = "2 seconds"  # None runs once over what is available
     state_partitions: int | None = None
@@ -113,6 +115,12 @@ class PipelineConfig:
             settings["warehouse_path"] = env["WAREHOUSE_PATH"]
         if "CHECKPOINT_ROOT" in env:
             settings["checkpoint_root"] = env["CHECKPOINT_ROOT"]
+        for name in (
+            "max_offsets_per_trigger", "max_files_per_trigger", "silver_batch_rows",
+            "anomaly_batch_rows", "warehouse_retries", "rows_per_write_task",
+        ):
+            if name.upper() in env:
+                settings[name] = int(env[name.upper()])
         if "SYMBOL_FILE_DIR" in env:
             settings["symbol_files"] = tuple(env["SYMBOL_FILE_DIR"].split(","))
         if "CLICKHOUSE_HOST" in env:

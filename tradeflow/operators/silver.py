@@ -53,6 +53,29 @@ def bronze(trades: DataFrame) -> DataFrame:
     return with_partitions(trades, "event_time").select(line.alias("value"), *PARTITIONS)
 
 
+def bronze_text(judged: DataFrame) -> DataFrame:
+    """Good messages as they came, in one line each, with ``ts`` as a last field.
+
+    Unlike ``bronze`` this keeps fields that the library does not know. Line breaks in
+    JSON stand between its tokens only, so a blank does as well.
+    """
+    line = F.translate("message", "\n\r", "  ")
+    head = F.rtrim(F.regexp_replace(line, r"\}[ \t]*$", ""))
+    time = F.concat(F.lit('"'), F.date_format("event_time", ISO_MILLIS), F.lit('"'))
+    value = F.when(
+        line.rlike(r"^[ \t]*\{.*\}[ \t]*$"),
+        F.concat(
+            head,
+            F.when(head.endswith("{"), "").otherwise(","),
+            F.lit('"ts":'),
+            F.coalesce(time, F.lit("null")),
+            F.lit("}"),
+        ),
+    ).otherwise(line)
+    lines = with_partitions(judged.where("reason IS NULL"), "event_time")
+    return lines.select(value.alias("value"), *PARTITIONS)
+
+
 def silver_lake(silver: DataFrame) -> DataFrame:
     return with_partitions(silver.select(SILVER_PUBLISHED), "event_time")
 

@@ -21,6 +21,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store its path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run on the driver's machine."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables and stream checkpoints.
 
@@ -30,6 +42,6 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return f"{shared.rstrip('/')}/tradeflow-{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"tradeflow-{purpose}-")

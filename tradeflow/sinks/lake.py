@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.functions.columns import ISO_MILLIS
 from tradeflow.schema import PARTITIONS
-from tradeflow.session import scratch_folder
-from tradeflow.sinks.spread import salt, spread
+from tradeflow.session import exists, scratch_folder
+from tradeflow.sinks.spread import deal, spread
 
 # Folder of each product below the lake path.
 FOLDERS = {"bronze": "raw/hourly", "silver": "silver/hourly", "anomalies": "anomalies"}
+REJECTS = "rejects"
 
 COMPACT_BYTES = 256 * 1024 * 1024
+RECORD = "_compacted"  # readers of the lake pass over names that start so
+LISTING = "dt string, hour_bucket string, files long, bytes long"
 
 
 def write_lake(
@@ -22,21 +28,22 @@ def write_lake(
     path: str,
     *,
     shuffle: bool = True,
-    salt_buckets: int | None = None,
+    rows_per_task: int | None = None,
     batch_id: int | None = None,
     run: str | None = None,
     max_records_per_file: int = 0,
     mode: str = "append",
+    partitions: Sequence[str] = PARTITIONS,
 ) -> None:
-    """Write a product that has ``dt`` and ``hour_bucket``.
+    """Write a product that has ``dt`` and ``hour_bucket``, or other ``partitions``.
 
     A product with a ``value`` column is text already; others become JSON with
     millisecond ISO times and explicit nulls. With ``batch_id`` the rows go to a
     folder of that batch inside each hour, and a repeated batch replaces it; ``run``
     names the checkpoint that numbers the batches and keeps those of others apart.
     """
-    out = spread(df, PARTITIONS, salt_buckets) if shuffle else df
-    keys = list(PARTITIONS)
+    out = spread(df, partitions, rows_per_task) if shuffle else df
+    keys = list(partitions)
     if batch_id is not None:
         out, mode = out.withColumn("batch_id", F.lit(batch_id)), "overwrite"
         keys.append("batch_id")
@@ -100,6 +107,16 @@ def partition_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def compacted(spark: SparkSession, target: str) -> DataFrame:
+    """What ``compact_partitions`` has written: each hour with the listing it was made of."""
+    record = f"{target}/{RECORD}"
+    if not exists(spark, record):
+        return spark.createDataFrame([], LISTING)
+    newest = Window.partitionBy(*PARTITIONS).orderBy(F.desc("run"))
+    runs = spark.read.schema(f"{LISTING}, run long").parquet(record)
+    return runs.withColumn("n", F.row_number().over(newest)).where("n = 1").drop("n", "run")
+
+
 def compact_partitions(
     spark: SparkSession,
     path: str,
@@ -109,28 +126,27 @@ def compact_partitions(
     *,
     file_bytes: int = COMPACT_BYTES,
 ) -> DataFrame:
-    """Rewrite the ``closed`` hours of ``path`` below ``target`` in larger files.
+    """Rewrite the ``closed`` hours of ``path`` below ``target`` in files of ``file_bytes``.
 
-    Hours whose files are already as few as their size allows are copied as well,
-    so ``target`` holds every closed hour whole. A repeated run replaces the hours
-    it writes and leaves others; the source is not touched. Returns the hours
-    written with their file counts before.
+    Only hours whose files have changed since they were last written here are read: a
+    record in the target names the files and bytes each hour was made of. Rows are dealt
+    to the files of an hour in turn, so files are even however few tasks read them. The
+    source is not touched. Returns the hours written, with files and bytes before.
     """
-    pieces = F.greatest(F.ceil(F.col("bytes") / file_bytes), F.lit(1)).cast("int")
-    hours = (
-        partition_files(spark, path)
-        .join(closed.select(*PARTITIONS), PARTITIONS, "left_semi")
-        .withColumn("pieces", pieces)
-    )
-    # A small table, written so that pruning below does not compute it again.
-    listed = scratch_folder(spark, "compaction")
-    hours.write.parquet(listed)
-    hours = spark.read.schema(hours.schema).parquet(listed).where("bytes > 0")
-    rows = read_lake(spark, path, schema).join(hours.select(*PARTITIONS, "pieces"), PARTITIONS)
-    placed = (
-        rows.withColumn("piece", salt(F.col("pieces")))
-        .repartition(*PARTITIONS, "piece")
-        .select(schema.fieldNames())
-    )
+    listed = partition_files(spark, path).where("bytes > 0")
+    wanted = listed.join(closed.select(*PARTITIONS), PARTITIONS, "left_semi")
+    hours = wanted.join(compacted(spark, target), [*PARTITIONS, "files", "bytes"], "left_anti")
+    # A small table, written so that what follows does not compute it again.
+    kept = scratch_folder(spark, "compaction")
+    hours.write.parquet(kept)
+    hours = spark.read.schema(hours.schema).parquet(kept)
+    if hours.isEmpty():
+        return hours
+    rows = read_lake(spark, path, schema).join(hours.select(*PARTITIONS), PARTITIONS, "left_semi")
+    # Whole tasks for each hour, so that none of its files is cut short by another hour.
+    pieces = F.ceil(F.col("bytes") / file_bytes)
+    placed = deal(rows, PARTITIONS, hours.withColumn("size", pieces), 1)
     write_lake(placed, target, shuffle=False, mode="overwrite")
+    run = F.lit(time.time_ns())
+    hours.withColumn("run", run).coalesce(1).write.mode("append").parquet(f"{target}/{RECORD}")
     return hours

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.config import JdbcTarget
+from tradeflow.sinks.ledger import RETRIES, write_once
 from tradeflow.sinks.spread import spread
 
 
@@ -27,6 +28,7 @@ LAYOUTS = {
     "anomalies": Layout("window_start", ("symbol", "window_start", "anomaly_type")),
 }
 
+PIECE_ROWS = 1_000_000
 EPOCH = "1970-01-01 00:00:00"
 
 
@@ -51,7 +53,7 @@ def to_warehouse_types(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def arranged(df: DataFrame, layout: Layout, salt_buckets: int | None = None) -> DataFrame:
+def arranged(df: DataFrame, layout: Layout, rows_per_task: int | None = None) -> DataFrame:
     """Add the day and sort each task's rows by (day, layout order).
 
     Rows are brought together by day and symbol, so a file holds few symbols in
@@ -59,7 +61,7 @@ def arranged(df: DataFrame, layout: Layout, salt_buckets: int | None = None) ->
     over several files. One pass: a range shuffle would read its input twice.
     """
     dated = df.withColumn("event_date", F.to_date(layout.time))
-    placed = spread(dated, ["event_date", layout.order[0]], salt_buckets)
+    placed = spread(dated, ["event_date", layout.order[0]], rows_per_task)
     return placed.sortWithinPartitions("event_date", *layout.order)
 
 
@@ -93,13 +95,16 @@ def write_warehouse(
     batch_rows: int = 10_000,
     batch_id: int | None = None,
     run: str | None = None,
-    salt_buckets: int | None = None,
+    rows_per_task: int | None = None,
+    retries: int = RETRIES,
+    ledger: str | None = None,
     mode: str = "append",
 ) -> None:
     """Append a product to its warehouse table.
 
     A table in a folder gets one sub-folder per day (and per ``run`` and batch,
-    which a repeated batch of that run replaces). A JDBC table receives each batch at least once.
+    which a repeated batch of that run replaces). For a JDBC table ``ledger`` is a folder
+    that notes what was appended of each batch, so a repeated one is not appended twice.
     """
     layout = LAYOUTS[product]
     typed = to_warehouse_types(df)
@@ -107,9 +112,21 @@ def write_warehouse(
         typed = typed.withColumn("ingest_time", F.current_timestamp())
     if jdbc is not None:
         options = jdbc_options(jdbc, jdbc_table(jdbc, product), batch_rows)
-        typed.write.format("jdbc").options(**options).mode("append").save()
+        # The time of arrival is set once a piece, behind its choice by content.
+        plain = typed.drop("ingest_time")
+
+        def append(part: DataFrame) -> None:
+            if product == "silver":
+                part = part.withColumn("ingest_time", F.current_timestamp())
+            part.write.format("jdbc").options(**options).mode("append").save()
+
+        if ledger is None or batch_id is None:
+            append(plain)
+        else:
+            noted = f"{ledger}/{product}/{run or 'run'}/{batch_id}"
+            write_once(plain, append, noted, rows_per_piece=PIECE_ROWS, retries=retries)
         return
-    out, keys = arranged(typed, layout, salt_buckets), ["event_date"]
+    out, keys = arranged(typed, layout, rows_per_task), ["event_date"]
     if batch_id is not None:
         out, mode = out.withColumn("batch_id", F.lit(batch_id)), "overwrite"
         keys.append("batch_id")

@@ -43,19 +43,75 @@ def _trades(parsed: DataFrame, struct: str) -> DataFrame:
     )
 
 
-def _parsed_bare(messages: DataFrame) -> DataFrame:
-    return _parsed(messages, _with_corrupt(*RAW_TRADE.fields), _with_corrupt(*TRADE.fields))
+def judge_messages(messages: DataFrame) -> DataFrame:
+    """Every bare trade message with its text, its trade, and why it is rejected.
+
+    ``reason`` is null for a good message. The text is parsed once for all that is
+    made of it: bronze, silver and rejects. Trade fields of rejects mean nothing.
+    """
+    parsed = _parsed(messages, _with_corrupt(*RAW_TRADE.fields), _with_corrupt(*TRADE.fields))
+    return parsed.selectExpr(
+        "message",
+        f"IF({_MALFORMED}, 'bad_json', NULL) AS reason",
+        *(f"parsed.{name} AS {name}" for name in TRADE.fieldNames()),
+        "timestamp_millis(parsed.event_ms) AS event_time",
+    )
+
+
+def good_trades(judged: DataFrame) -> DataFrame:
+    return judged.where("reason IS NULL").select(*TRADE.fieldNames(), "event_time")
+
+
+def rejects(judged: DataFrame) -> DataFrame:
+    """The messages that were rejected, as they came, with the reason."""
+    return judged.where("reason IS NOT NULL").select("message", "reason")
 
 
 def parse_trades(messages: DataFrame) -> DataFrame:
-    """Trades out of bare trade messages; malformed ones are left out."""
-    return _trades(_parsed_bare(messages).where(f"NOT {_MALFORMED}"), "parsed")
+    """Trades out of bare trade messages; ``parse_rejects`` has the malformed ones."""
+    return good_trades(judge_messages(messages))
 
 
 def parse_rejects(messages: DataFrame) -> DataFrame:
     """The messages ``parse_trades`` leaves out, with the reason."""
-    rejects = _parsed_bare(messages).where(_MALFORMED)
-    return rejects.select("message", F.lit("bad_json").alias("reason"))
+    return rejects(judge_messages(messages))
+
+
+def judge_envelopes(messages: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+    """Every ``{"stream", "data"}`` message with its data as text, untouched.
+
+    ``reason`` is null for a message to publish, else ``bad_json``, ``no_data``,
+    ``empty_data``, ``no_object`` (data of another kind) or, with a ``universe`` of
+    symbols, ``not_subscribed``: its stream is none of theirs. Fields that the library
+    does not know, and trades without a symbol, pass.
+    """
+    wire = "struct<stream:string,data:string,_corrupt_record:string>"
+    text = (
+        f"from_json(message, '{wire}', map('columnNameOfCorruptRecord', '{CORRUPT}'))"
+    )
+    parsed = computed_once(messages.selectExpr("CAST(value AS string) AS message"), parsed=text)
+    judged = parsed.selectExpr(
+        "message",
+        "parsed.stream AS stream",
+        "parsed.data AS value",
+        f"""CASE WHEN {_MALFORMED} THEN 'bad_json'
+                 WHEN parsed.data IS NULL THEN 'no_data'
+                 WHEN parsed.data IN ('{{}}', '[]', '', '0', 'false') THEN 'empty_data'
+                 WHEN parsed.data NOT LIKE '{{%' THEN 'no_object' END AS reason""",
+    )
+    if universe is None:
+        return judged
+    wanted = universe.select(stream_name().alias("wanted")).distinct()
+    known = judged.join(wanted, F.lower("stream") == F.col("wanted"), "left")
+    return known.selectExpr(
+        "message", "stream", "value",
+        "coalesce(reason, IF(wanted IS NULL, 'not_subscribed', NULL)) AS reason",
+    )
+
+
+def published(judged: DataFrame) -> DataFrame:
+    """The data of good envelopes, as text to publish."""
+    return judged.where("reason IS NULL").select("value")
 
 
 def unwrap_envelope(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,7 +156,7 @@ def kafka_options(cfg: PipelineConfig) -> dict[str, str]:
         "subscribe": cfg.kafka_topic,
         "startingOffsets": "earliest",
     }
-    if cfg.max_offsets_per_trigger:
+    if cfg.max_offsets_per_trigger:  # 0: no bound
         options["maxOffsetsPerTrigger"] = str(cfg.max_offsets_per_trigger)
     return options
 

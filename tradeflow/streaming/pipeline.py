@@ -1,4 +1,4 @@
-"""The running pipeline: three streams, each computed once for all its targets."""
+"""The running pipeline: two streams, each computed once for all its targets."""
 
 from __future__ import annotations
 
@@ -19,13 +19,21 @@ from tradeflow.operators.bars import (
     with_open_close,
 )
 from tradeflow.operators.detect import data_quality, window_anomalies
-from tradeflow.operators.silver import anomalies_lake, bronze, silver_lake, to_silver
+from tradeflow.operators.silver import anomalies_lake, bronze_text, silver_lake, to_silver
 from tradeflow.schema import SILVER_PUBLISHED, TRADE
-from tradeflow.session import STATE_STORE, pin_utc
-from tradeflow.sinks.lake import FOLDERS, write_lake
+from tradeflow.session import STATE_STORE, exists, pin_utc
+from tradeflow.sinks.lake import FOLDERS, REJECTS, write_lake
 from tradeflow.sinks.warehouse import write_warehouse
-from tradeflow.sources.trades import publish_trades, read_messages, read_trades, unwrap_envelope
-from tradeflow.sources.universe import load_universe, restrict_to_universe
+from tradeflow.sources.trades import (
+    good_trades,
+    judge_envelopes,
+    judge_messages,
+    published,
+    read_messages,
+    read_trades,
+    rejects,
+)
+from tradeflow.sources.universe import load_universe
 from tradeflow.streaming.state import BarProcessor, with_bars_stream
 
 def stream_features(silver: DataFrame, t: Thresholds | None = None) -> DataFrame:
@@ -63,9 +71,9 @@ def configure(spark: SparkSession, cfg: PipelineConfig) -> SparkSession:
     return spark
 
 
-# How each product leaves for the lake and for the warehouse.
+# How each product leaves for the lake and for the warehouse. Bronze goes to the lake as
+# the message came.
 TO_LAKE: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "bronze": bronze,
     "silver": silver_lake,
     "anomalies": anomalies_lake,
 }
@@ -80,64 +88,107 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     """A name for all starts from one checkpoint, kept beside it.
 
     Batch ids count from 0 again under a new checkpoint; with this name in the
-    folder of a batch they cannot replace an older run's.
+    folder of a batch they cannot replace an older run's. A start that broke off
+    before the name was whole leaves none, and the next one makes it.
     """
     kept = f"{checkpoint}-run"
-    new = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
-    new.coalesce(1).write.mode("ignore").text(kept)
+    if not exists(spark, f"{kept}/_SUCCESS"):
+        new = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
+        new.coalesce(1).write.mode("overwrite").text(kept)
     return spark.read.text(kept).first()[0]
 
 
-def fan_out(product: str, cfg: PipelineConfig, targets: set[str], run: str | None = None):
-    """Writes one micro-batch to every target, computing it once.
+def checkpoint_root(spark: SparkSession, cfg: PipelineConfig) -> str:
+    """The folder of all checkpoints: the configured one, else one below the shared folder
+    that the session names. A relative path would be another folder for each start."""
+    root = cfg.checkpoint_root
+    if root is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            raise ValueError("set checkpoint_root or spark.checkpoint.dir to a shared folder")
+        root = f"{shared.rstrip('/')}/tradeflow-streams"
+    if not (root.startswith("/") or ":/" in root):
+        raise ValueError(f"checkpoint_root {root!r} must be an absolute path")
+    return root
+
+
+class Target:
+    """Writes the products of one micro-batch to the lake, the warehouse or both.
 
     A batch that runs again after a failure replaces what it wrote before; batches
     of other runs stay.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        shared = len(targets) > 1
-        if shared:
-            batch.persist()
-        try:
-            if LAKE in targets:
-                write_lake(
-                    TO_LAKE[product](batch),
-                    f"{cfg.lake_path}/{FOLDERS[product]}",
-                    salt_buckets=cfg.salt_buckets,
-                    batch_id=batch_id,
-                    run=run,
-                    max_records_per_file=cfg.max_records_per_file,
-                )
-            if WAREHOUSE in targets:
-                rows = cfg.anomaly_batch_rows if product == "anomalies" else cfg.silver_batch_rows
-                write_warehouse(
-                    TO_WAREHOUSE[product](batch),
-                    product,
-                    cfg.warehouse_path,
-                    jdbc=cfg.jdbc,
-                    batch_rows=rows,
-                    batch_id=batch_id,
-                    run=run,
-                    salt_buckets=cfg.salt_buckets,
-                )
-        finally:
-            if shared:
-                batch.unpersist()
+    def __init__(self, cfg: PipelineConfig, targets: set[str], run: str, batch_id: int, root: str):
+        self.cfg, self.targets = cfg, targets
+        self.run, self.batch_id, self.root = run, batch_id, root
+
+    def lake(self, df: DataFrame, folder: str, **options) -> None:
+        write_lake(
+            df,
+            f"{self.cfg.lake_path}/{folder}",
+            rows_per_task=self.cfg.rows_per_write_task,
+            batch_id=self.batch_id,
+            run=self.run,
+            max_records_per_file=self.cfg.max_records_per_file,
+            **options,
+        )
+
+    def warehouse(self, df: DataFrame, product: str) -> None:
+        cfg = self.cfg
+        write_warehouse(
+            TO_WAREHOUSE[product](df),
+            product,
+            cfg.warehouse_path,
+            jdbc=cfg.jdbc,
+            batch_rows=cfg.anomaly_batch_rows if product == "anomalies" else cfg.silver_batch_rows,
+            batch_id=self.batch_id,
+            run=self.run,
+            rows_per_task=cfg.rows_per_write_task,
+            retries=cfg.warehouse_retries,
+            ledger=f"{self.root}/ledger",
+        )
+
+    def product(self, df: DataFrame, product: str) -> None:
+        if LAKE in self.targets:
+            self.lake(TO_LAKE[product](df), FOLDERS[product])
+        if WAREHOUSE in self.targets:
+            self.warehouse(df, product)
 
-    return write
 
+def land(judged: DataFrame, target: Target) -> None:
+    """Bronze, silver and rejects of one batch of judged messages.
 
-def _checkpoint(cfg: PipelineConfig, name: str) -> str:
-    return f"{cfg.checkpoint_root}/{name}"
+    Rejects go to the lake whatever the targets are: no message is lost.
+    """
+    trades = good_trades(judged)
+    if LAKE in target.targets:
+        target.lake(bronze_text(judged), FOLDERS["bronze"])
+    if WAREHOUSE in target.targets and target.cfg.bronze_to_warehouse:
+        target.warehouse(trades, "bronze")
+    target.product(to_silver(trades), "silver")
+    target.lake(rejects(judged), REJECTS, partitions=["reason"])
 
 
 def _start(df: DataFrame, name: str, cfg: PipelineConfig, write) -> StreamingQuery:
+    """Start a stream whose batches are computed once for all that ``write`` makes of them."""
+    spark = df.sparkSession
+    root = checkpoint_root(spark, cfg)
+    checkpoint = f"{root}/{name}"
+    run = run_id(spark, checkpoint)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write(batch, Target(cfg, cfg.targets, run, batch_id, root))
+        finally:
+            batch.unpersist()
+
     writer = (
         df.writeStream.queryName(name)
         .outputMode("append")
-        .option("checkpointLocation", _checkpoint(cfg, name))
-        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(each)
     )
     if cfg.trigger is None:
         return writer.trigger(availableNow=True).start()
@@ -145,36 +196,39 @@ def _start(df: DataFrame, name: str, cfg: PipelineConfig, write) -> StreamingQue
 
 
 def start_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict[str, StreamingQuery]:
-    """Start bronze, silver and anomalies for the configured targets.
+    """Start two streams: ``landing`` (bronze, silver, rejects) and ``anomalies``.
 
     Bronze goes to the lake only, unless the warehouse is asked for it. Raises
     ``ValueError`` for an unknown sink target, before anything starts.
     """
-    targets = cfg.targets
+    _ = cfg.targets
     configure(spark, cfg)
-    trades = read_trades(spark, cfg)
-    products = {
-        "bronze": (trades, targets if cfg.bronze_to_warehouse else targets & {LAKE}),
-        "silver": (to_silver(trades), targets),
-        "anomalies": (stream_anomalies(trades, cfg.thresholds), targets),
-    }
+    checkpoint_root(spark, cfg)
+    judged = judge_messages(read_messages(spark, cfg))
+    found = stream_anomalies(read_trades(spark, cfg), cfg.thresholds)
     return {
-        name: _start(df, name, cfg, fan_out(name, cfg, wanted, run_id(spark, _checkpoint(cfg, name))))
-        for name, (df, wanted) in products.items()
-        if wanted
+        "landing": _start(judged, "landing", cfg, land),
+        "anomalies": _start(
+            found, "anomalies", cfg, lambda batch, target: target.product(batch, "anomalies")
+        ),
     }
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> None:
-    """Run until stopped, or over what is available if there is no trigger."""
+    """Run until stopped, or over what is available if there is no trigger.
+
+    One failed or stopped stream ends the others, as they belong together.
+    """
     queries = start_pipeline(spark, cfg)
-    if cfg.trigger is None:
-        for query in queries.values():
-            query.awaitTermination()
-        return
     try:
-        spark.streams.awaitAnyTermination()
-    finally:  # one failed or stopped stream ends the job, as its parts belong together
+        if cfg.trigger is not None:
+            spark.streams.awaitAnyTermination()
+        waiting = list(queries.values()) if cfg.trigger is None else []
+        while waiting:
+            for query in waiting:
+                if query.awaitTermination(1):  # raises if it has failed
+                    waiting = [q for q in waiting if q is not query]
+    finally:
         for query in queries.values():
             query.stop()
 
@@ -182,26 +236,26 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> None:
 def start_publisher(
     spark: SparkSession, cfg: PipelineConfig, target: str | None = None
 ) -> StreamingQuery:
-    """Unwrap envelope messages from ``source_path`` and publish the trades.
+    """Unwrap envelope messages from ``source_path`` and publish their data as it came.
 
-    They go to the Kafka topic, or as text files to the folder ``target``.
+    It goes to the Kafka topic, or as text files to the folder ``target``; what is not
+    published goes to the rejects of the lake, with the reason.
     """
     if cfg.source_path is None:
         raise ValueError("the publisher reads envelope messages from source_path")
     pin_utc(spark)
-    trades, _ = unwrap_envelope(read_messages(spark, cfg))
+    universe = None
     if cfg.symbol_files:
         universe = load_universe(spark, cfg.symbol_files, cfg.shard_size)
-        trades = restrict_to_universe(trades, universe)
-    writer = publish_trades(trades).writeStream.option(
-        "checkpointLocation", f"{cfg.checkpoint_root}/publisher"
-    )
-    if target is None:
-        writer = writer.format("kafka").options(
-            **{"kafka.bootstrap.servers": cfg.kafka_servers, "topic": cfg.kafka_topic}
-        )
-    else:
-        writer = writer.format("text").option("path", target)
-    if cfg.trigger is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=cfg.trigger).start()
+
+    def write(batch: DataFrame, to: Target) -> None:
+        good = published(batch)
+        if target is None:
+            servers = {"kafka.bootstrap.servers": cfg.kafka_servers, "topic": cfg.kafka_topic}
+            good.write.format("kafka").options(**servers).save()
+        else:
+            folder = f"{target}/run_id={to.run}/batch_id={to.batch_id}"
+            good.write.mode("overwrite").text(folder)
+        to.lake(rejects(batch), REJECTS, partitions=["reason"])
+
+    return _start(judge_envelopes(read_messages(spark, cfg), universe), "publisher", cfg, write)

@@ -86,6 +86,131 @@ def smallest_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+class Meeting:
+    """Two blocks of a bucket, or one with itself: unit vectors, their ids and copies."""
+
+    def __init__(self, data: pd.DataFrame):
+        self.reps, self.copies = data["rep"].to_numpy(), data["copies"].to_numpy()
+        i, j = data["i"].iloc[0], data["j"].iloc[0]
+        self.alone = i == j
+        self.left = np.flatnonzero(data["block"].to_numpy() == i)
+        self.right = np.flatnonzero(data["block"].to_numpy() == j)
+        unit = np.empty((len(data), 0))
+        lengths = data["vector"].map(len).to_numpy()
+        if len(data) and (lengths == lengths[0]).all():
+            unit = unit_rows(data["vector"])
+        self.unit, self.lengths = unit, lengths
+        self.data = data
+
+    def close(self, threshold: float) -> np.ndarray:
+        """Which of the left are linked with which of the right, nothing with itself."""
+        if self.unit.shape[1]:
+            close = self.unit[self.left] @ self.unit[self.right].T >= threshold
+        else:  # vectors of different lengths are never linked
+            close = np.zeros((len(self.left), len(self.right)), bool)
+            for width in np.unique(self.lengths):
+                x = np.flatnonzero(self.lengths[self.left] == width)
+                y = np.flatnonzero(self.lengths[self.right] == width)
+                if len(x) and len(y):
+                    u = unit_rows(self.data["vector"].iloc[self.left[x]])
+                    v = unit_rows(self.data["vector"].iloc[self.right[y]])
+                    close[np.ix_(x, y)] = u @ v.T >= threshold
+        if self.alone:
+            np.fill_diagonal(close, False)
+        return close
+
+
+def _edges(meeting: Meeting, threshold: float) -> pd.DataFrame:
+    """One edge for each vector that is linked: to the first of its component here."""
+    close = meeting.close(threshold)
+    label = np.arange(len(meeting.reps))
+    far = len(label)
+    while True:
+        new = label.copy()
+        across = np.where(close, label[meeting.right], far).min(axis=1, initial=far)
+        new[meeting.left] = np.minimum(new[meeting.left], across)
+        back = np.where(close, new[meeting.left][:, None], far).min(axis=0, initial=far)
+        new[meeting.right] = np.minimum(new[meeting.right], back)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return pd.DataFrame({"a": meeting.reps[moved], "b": meeting.reps[label[moved]]})
+
+
+def _counts(meeting: Meeting, threshold: float) -> pd.DataFrame:
+    """How many vectors of the other block each is linked with, copies counted."""
+    close = meeting.close(threshold)
+    total = np.zeros(len(meeting.reps), np.int64)
+    total[meeting.left] += close @ meeting.copies[meeting.right]
+    if not meeting.alone:
+        total[meeting.right] += close.T @ meeting.copies[meeting.left]
+    linked = np.flatnonzero(total)
+    return pd.DataFrame({"a": meeting.reps[linked], "links": total[linked]})
+
+
+def _by_meeting(work):
+    """``work`` on each meeting of sorted batches; a task holds one meeting at a time."""
+
+    @tidy
+    def worked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            last = batch.iloc[-1]
+            open_ = (batch["bucket"] == last["bucket"]) & (batch["i"] == last["i"])
+            open_ &= batch["j"] == last["j"]
+            if not open_.all():
+                yield from each(pd.concat([*held, batch[~open_]]))
+                held = []
+            held.append(batch[open_])
+        if held:
+            yield from each(pd.concat(held))
+
+    def each(data: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        where = data[["bucket", "i", "j"]].to_numpy()
+        cuts = np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1
+        found = [
+            work(Meeting(data.iloc[a:b]))
+            for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)
+            if b - a > 1
+        ]
+        if found:
+            yield pd.concat(found)
+
+    return worked
+
+
+def _meetings(members: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """The classes of every bucket of ``members`` (bucket, rep), in blocks two by two."""
+    sizes = (
+        members.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+        .drop("n")
+    )
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    pairs_of_blocks = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(
+            F.least(F.col("block"), other).alias("i"), F.greatest(F.col("block"), other).alias("j")
+        ),
+    )
+    return (
+        members.join(sizes, "bucket")
+        .withColumn("block", own)
+        .join(classes, "rep")
+        .select(
+            "bucket", "block", "rep", "copies", "vector", F.inline(pairs_of_blocks).alias("i", "j")
+        )
+        .repartition("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j")
+    )
+
+
 def link_vectors(
     df: DataFrame,
     id_column: str = "vec_id",
@@ -101,13 +226,13 @@ def link_vectors(
     ``threshold``; ``n_links`` counts the other vectors a vector is linked with,
     ``component_id`` is the smallest id reachable by links, and the vector of that
     id is kept. Candidates are vectors that share a bucket of a cross-polytope
-    table; every candidate pair is compared, none below the threshold is linked.
+    table; every candidate pair is compared, none below the threshold is linked. Links
+    are counted once, between all vectors of a component.
 
     Equal vectors are one class with a count, so copies make no pairs. Only classes
     that share a bucket get their vectors sent there. A bucket of more than ``block``
     classes is cut into blocks that meet two by two, so no task holds more than two
-    blocks. A task returns counts and one edge per vector, not pairs; a pair that
-    meets in several buckets counts in the one with the smallest number.
+    blocks. A task returns one edge, or one count, per vector, not pairs.
 
     Vectors that are null, empty, zero or hold null or non-finite values, and rows
     with a null id, are linked with nothing and kept under their own id. Vectors of
@@ -154,92 +279,17 @@ def link_vectors(
                     ids = np.repeat(same["rep"].to_numpy()[k : k + 2000], part.shape[1])
                     yield pd.DataFrame({"bucket": part.ravel(), "rep": ids}).drop_duplicates()
 
-    @tidy
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            same = batch["bucket"] == batch["bucket"].iloc[-1]
-            same &= batch["i"] == batch["i"].iloc[-1]
-            same &= batch["j"] == batch["j"].iloc[-1]
-            if not same.all():
-                yield from compare(pd.concat([*held, batch[~same]]))
-                held = []
-            held.append(batch[same])
-        if held:
-            yield from compare(pd.concat(held))
-
-    def compare(data: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        where = data[["bucket", "i", "j"]].to_numpy()
-        cuts = np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1
-        reps, size = data["rep"].to_numpy(), data["copies"].to_numpy()
-        blocks, vectors = data["block"].to_numpy(), data["vector"]
-        found = []
-        for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True):
-            if b - a < 2:
-                continue
-            unit = unit_rows(vectors.iloc[a:b])
-            bucket, i, j = where[a]
-            left, right = blocks[a:b] == i, blocks[a:b] == j
-            close = unit[left] @ unit[right].T >= threshold
-            x, y = np.nonzero(close)
-            x, y = np.flatnonzero(left)[x], np.flatnonzero(right)[y]
-            if i == j:
-                x, y = x[x < y], y[x < y]
-            if not len(x):
-                continue
-            # Links count in the smallest bucket that both vectors share.
-            touched, back = np.unique(np.concatenate([x, y]), return_inverse=True)
-            codes = bucket_codes(unit[touched], hashes, tables, probes) * 4099 + unit.shape[1]
-            p, q = back[: len(x)], back[len(x) :]
-            own = np.empty(len(x), bool)
-            for k in range(0, len(x), 50_000):
-                u, v = codes[p[k : k + 50_000]], codes[q[k : k + 50_000]]
-                met = (u[:, :, :, None] == v[:, :, None, :]).any(axis=3)
-                own[k : k + 50_000] = np.where(met, u, np.iinfo(np.int64).max).min(
-                    axis=(1, 2)
-                ) == bucket
-            total = np.zeros(b - a, np.int64)
-            np.add.at(total, x[own], size[a:b][y[own]])
-            np.add.at(total, y[own], size[a:b][x[own]])
-            order = np.argsort(reps[a:b][touched], kind="stable")
-            place = np.empty(len(touched), np.int64)
-            place[order] = np.arange(len(touched))
-            label = smallest_labels(len(touched), place[p], place[q])
-            ids = reps[a:b][touched]
-            found.append(
-                pd.DataFrame({"a": ids, "b": ids[order][label[place]], "links": total[touched]})
-            )
-        if found:
-            yield pd.concat(found)
-
     buckets = checkpointed(classes.mapInPandas(hashed, "bucket long, rep long"))
-    sizes = (
-        buckets.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-        .drop("n")
-    )
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    pairs_of_blocks = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(
-            F.least(F.col("block"), other).alias("i"), F.greatest(F.col("block"), other).alias("j")
-        ),
+    edges = _meetings(buckets, classes, block).mapInPandas(
+        _by_meeting(lambda m: _edges(m, threshold)), "a long, b long"
     )
-    meeting = (
-        buckets.join(sizes, "bucket")
-        .withColumn("block", own)
-        .join(classes, "rep")
-        .select(
-            "bucket", "block", "rep", "copies", "vector", F.inline(pairs_of_blocks).alias("i", "j")
-        )
-        .repartition("bucket", "i", "j")
-        .sortWithinPartitions("bucket", "i", "j")
+    reached = checkpointed(components(checkpointed(edges)))
+    # All linked pairs lie inside a component: there each is counted once.
+    inside = reached.select(F.col("component").alias("bucket"), F.col("node").alias("rep"))
+    counts = _meetings(inside, classes, block).mapInPandas(
+        _by_meeting(lambda m: _counts(m, threshold)), "a long, links long"
     )
-    found = checkpointed(meeting.mapInPandas(verified, "a long, b long, links long"))
-    reached = components(found.select("a", "b"))
-    counted = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n"))
+    counted = counts.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n"))
     by_class = (
         classes.join(counted, F.col("rep") == F.col("node"), "left")
         .drop("node")

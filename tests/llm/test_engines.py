@@ -13,7 +13,16 @@ from tradeflow.llm.lines import winnow
 from tradeflow.llm.mixing import apportion, pfair_slots
 from tradeflow.llm.passages import compact_windows, matched_passage, shingle_sequences
 from tradeflow.llm.setsketch import likely_jaccard, merge_registers, registers
-from tradeflow.llm.shingles import shingle_sets
+from tradeflow.llm.shingles import (
+    GOLDEN,
+    LETTERS,
+    PRIME,
+    PRIME_BASES,
+    mix,
+    shingle_sets,
+    spans_hashed,
+    word_hashes,
+)
 from tradeflow.llm.token_counts import TokenCounter
 from tradeflow.llm.vectors import bucket_codes
 
@@ -199,3 +208,30 @@ def test_every_word_is_in_a_window():
     windows, text = words.windows()
     for k, n in enumerate((0, 1, 32, 33, 100)):
         assert len(set(windows[text == k].ravel()) - {-1}) == n
+
+
+def morse(n):
+    """The Thue-Morse string of n letters and its complement, as two words."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_hash_follows_its_polynomials_and_parts_what_meets_modulo_a_power_of_two():
+    rng = np.random.default_rng(1)
+    buffer = rng.integers(0, 256, 3000).astype(np.uint8)
+    starts = np.sort(rng.integers(0, 2500, 100))
+    stops = starts + rng.integers(1, 400, 100)
+    lists = ([int(x) % PRIME for x in LETTERS], [int(x) >> 33 for x in LETTERS])
+
+    def hashed(span):
+        both = 0
+        for base, letters in zip(PRIME_BASES, lists, strict=True):
+            value = sum(letters[c] * pow(base, i, PRIME) for i, c in enumerate(span))
+            both = both << 31 | value % PRIME
+        return np.uint64(both) ^ mix(np.array([len(span)], np.uint64) * GOLDEN)
+
+    want = [mix(hashed(buffer[a:b].tolist()))[0] for a, b in zip(starts, stops, strict=True)]
+    assert spans_hashed(buffer, starts, stops).tolist() == want
+    for n in (1024, 2048, 4096):
+        hashes, _ = word_hashes([*morse(n), morse(n)[0]])
+        assert hashes[0] != hashes[1] and hashes[0] == hashes[2]

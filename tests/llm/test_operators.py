@@ -239,6 +239,24 @@ def test_lines_equal_brute_force(spark, documents):
         assert rows[doc] == "\n".join(x for i, x in enumerate(lines) if i not in gone)
 
 
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_texts_that_meet_modulo_a_power_of_two_are_different(spark, n):
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    docs = spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")
+    assert [r["component_id"] for r in link_near_copies(docs).orderBy("doc_id").collect()] == [1, 2]
+    rows = [(1, f"{a}\nsecond line"), (2, f"{b}\nsecond line"), (3, f"{a}\nsecond line")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in drop_repeated_lines(docs).collect()}
+    assert kept[1] == rows[0][1] and kept[2] == rows[1][1] and kept[3] != rows[2][1]
+    rest = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, " ".join([a, *[f"x{i}" for i in range(49)]])),
+            (2, " ".join([b, *[f"x{i}" for i in range(49)]])), (3, rest)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = mark_repeats(docs).collect()
+    assert all(r["n_repeated_words"] < 50 for r in found)
+
+
 def test_planted_passages_are_found_and_clean_texts_left(spark):
     rng = np.random.default_rng(6)
 

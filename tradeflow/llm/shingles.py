@@ -6,8 +6,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# An odd base for the polynomial over bytes, the increment and the
-# multipliers of the splitmix64 finalizer.
+# A Mersenne prime and two bases below it for polynomials over bytes; an
+# odd base for that modulo 2^64; the increment and the multipliers of the splitmix64
+# finalizer.
+PRIME = (1 << 31) - 1
+PRIME_BASES = (0x5D3A91C7, 0x2B7E1516)
 BASE = np.uint64(0x9E6C63D0676A9A99)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -64,8 +67,39 @@ def words_of(
     return buffer, starts, stops, np.searchsorted(ends, starts, side="right")
 
 
+_tables: dict[int, np.ndarray] = {}
+
+
+def _table(base: int, n: int) -> np.ndarray:
+    """Powers of ``base`` modulo the prime; kept and doubled as texts need."""
+    kept = _tables.get(base, np.ones(1, np.uint64))
+    while len(kept) < n:
+        step = np.uint64(int(kept[-1]) * base % PRIME)
+        kept = np.concatenate([kept, kept * step % np.uint64(PRIME)])
+    _tables[base] = kept
+    return kept[:n]
+
+
 def spans_hashed(buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A hash of each span of bytes."""
+    """A hash of each span of bytes: two polynomials modulo the prime 2^31 - 1.
+
+    Two different spans of n bytes meet for at most n of the prime's bases, and only if
+    they do so for both bases is their hash the same. Modulo a power of two there are
+    pairs of spans that meet for every base.
+    """
+    n, prime = len(buffer), np.uint64(PRIME)
+    both = np.zeros(len(starts), np.uint64)
+    for base, letters in zip(PRIME_BASES, (LETTERS % prime, LETTERS >> np.uint64(33)), strict=True):
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(letters[buffer] * _table(base, n) % prime, out=total[1:])
+        span = (total[stops] - total[starts]) % prime
+        inverse = _table(pow(base, -1, PRIME), n + 1)
+        both = (both << np.uint64(31)) | (span * inverse[starts] % prime)
+    return mix(both ^ mix((stops - starts).astype(np.uint64) * GOLDEN))
+
+
+def spans_mixed(buffer: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A faster hash of each span, modulo 2^64: for features, where a collision is harmless."""
     total = np.concatenate(
         [np.zeros(1, np.uint64), np.cumsum(LETTERS[buffer] * powers(len(buffer)))]
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tradeflow.llm import gru
 from tradeflow.llm.common import ship, tidy
 from tradeflow.llm.merges import slices
-from tradeflow.llm.shingles import LETTERS, SPACE, mix, spans_hashed, words_of
+from tradeflow.llm.shingles import LETTERS, SPACE, mix, spans_mixed, words_of
 
 # Production settings: at most so many labelled rows of each kind are learned from,
 # none of a longer text, so the one task that learns holds a bounded sample.
@@ -37,7 +37,7 @@ class Words:
 
     def __init__(self, texts: list[str | None]):
         buffer, starts, stops, self.owner = words_of(texts, PARTS)
-        hashes = spans_hashed(buffer, starts, stops)
+        hashes = spans_mixed(buffer, starts, stops)
         self.hashes, first, self.index = np.unique(
             hashes, return_index=True, return_inverse=True
         )

@@ -9,6 +9,7 @@ import pytest
 from tradeflow.operators import bars as b
 from tradeflow.operators.detect import anomalies, data_quality
 from tradeflow.operators.silver import to_silver
+from tradeflow.plans import written
 from tradeflow.plans.queries import QUERIES
 from tradeflow.sources.events import read_events, trades_from_events
 from tradeflow.sources.trades import parse_trades, publish_trades
@@ -23,7 +24,12 @@ def plan(df):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("key", [k for k in QUERIES if not k.startswith("stream_")])
+WRITTEN = [key for key in QUERIES if hasattr(written, key)]
+
+
+@pytest.mark.parametrize(
+    "key", [k for k in QUERIES if not k.startswith("stream_") and k not in WRITTEN]
+)
 def test_no_python_and_no_cross_join(spark, key):
     text = plan(QUERIES[key](spark, SF))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
@@ -49,6 +55,17 @@ def test_bars_shuffle_once(spark):
     assert len(re.findall(r"^\(\d+\) Exchange", plan(b.bars(to_silver(raw))), re.M)) == 1
 
 
+@pytest.mark.parametrize("key", ["ohlcv_5m", "bar_features", "intertrade_gap", "anomalies"])
+def test_trades_are_not_sorted_to_be_aggregated(spark, key):
+    text = plan(QUERIES[key](spark, SF))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_gaps_shuffle_twice(spark):
+    text = plan(QUERIES["intertrade_gap"](spark, SF))
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2
+
+
 def test_anomalies_read_trades_twice_and_shuffle_three_times(spark):
     text = plan(anomalies(trades_from_events(read_events(spark, SF))))
     assert len(re.findall(r"^\(\d+\) Scan", text, re.M)) == 2

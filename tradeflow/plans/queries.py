@@ -20,15 +20,25 @@ from tradeflow.sinks.lake import partition_manifest
 from tradeflow.sinks.warehouse import LAYOUTS, arranged, to_warehouse_types
 from tradeflow.sources.events import (
     envelopes_from_trades,
+    messages_from_trades,
     read_events,
     stream_events,
     symbol_lines_from_events,
     trades_from_events,
 )
-from tradeflow.sources.trades import parse_trades, publish_trades, unwrap_envelope
+from tradeflow.plans import written
+from tradeflow.sources.trades import (
+    judge_envelopes,
+    parse_rejects,
+    parse_trades,
+    publish_trades,
+    published,
+    unwrap_envelope,
+)
 from tradeflow.sources.universe import (
     feed_by_shard,
     restrict_to_universe,
+    stream_list,
     universe_from_lines,
 )
 from tradeflow.streaming.pipeline import stream_anomalies, stream_bars, stream_features
@@ -51,6 +61,10 @@ def without_zone(df: DataFrame) -> DataFrame:
     )
 
 
+def _as_read(build: Query) -> Query:
+    return lambda spark, sf_dir: without_zone(build(pin_utc(spark), sf_dir))
+
+
 def _over_events(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: without_zone(build(read_events(pin_utc(spark), sf_dir)))
 
@@ -103,6 +117,11 @@ QUERIES: dict[str, Query] = {
     "event_time": _over_trades(lambda t: t.select("trade_id", "event_ms", "event_time")),
     "unwrap_envelope": _over_trades(lambda t: unwrap_envelope(envelopes_from_trades(t))[0]),
     "envelope_rejects": _over_trades(lambda t: unwrap_envelope(envelopes_from_trades(t))[1]),
+    "parse_rejects": _over_trades(lambda t: parse_rejects(messages_from_trades(t))),
+    "publish_envelope": _over_trades(lambda t: published(judge_envelopes(envelopes_from_trades(t)))),
+    "subscriptions": _over_events(
+        lambda e: stream_list(universe_from_lines(symbol_lines_from_events(e)))
+    ),
     "symbol_universe": _over_events(lambda e: universe_from_lines(symbol_lines_from_events(e))),
     "universe_filter": _with_universe(_first_shard),
     "feed_union": _with_universe(feed_by_shard),
@@ -116,6 +135,14 @@ QUERIES: dict[str, Query] = {
         lambda s: arranged(to_warehouse_types(s.select(SILVER_PUBLISHED)), LAYOUTS["silver"])
     ),
     "partition_manifest": _over_silver(lambda s: partition_manifest(silver_lake(s), "event_time")),
+    # What readers find of what was written
+    "lake_written": _as_read(written.lake_written),
+    "lake_batches": _as_read(written.lake_batches),
+    "lake_compacted": _as_read(written.lake_compacted),
+    "warehouse_written": _as_read(written.warehouse_written),
+    "warehouse_bronze": _as_read(written.warehouse_bronze),
+    "pipeline_landed": _as_read(written.pipeline_landed),
+    "pipeline_routed": _as_read(written.pipeline_routed),
     # Windows
     "tumble_5m": _over_silver(lambda s: b.windowed(s, b.BAR).select("trade_id", *KEYS)),
     "tumble_5s": _over_silver(lambda s: b.windowed(s, b.BURST).select("trade_id", *KEYS)),

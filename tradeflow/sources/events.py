@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.functions.columns import stream_name
-from tradeflow.sources.trades import envelope_text
+from tradeflow.sources.trades import envelope_text, message_text
 
 DAY_MS = 86_400_000
 SQUEEZE = 20_000
@@ -81,6 +81,13 @@ def envelopes_from_trades(trades: DataFrame) -> DataFrame:
     return trades.select(value.alias("value"))
 
 
+def messages_from_trades(trades: DataFrame) -> DataFrame:
+    """Every trade as a bare message, cut short for one quantity."""
+    text = message_text()
+    cut = F.when(F.col("qty") == "1", F.substring(text, F.lit(1), F.length(text) - 1))
+    return trades.select(cut.otherwise(text).alias("value"))
+
+
 def symbol_lines_from_events(events: DataFrame) -> DataFrame:
     """(shard, line_no, line): the traded symbols as two untidy symbol lists.
 

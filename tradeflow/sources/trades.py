@@ -139,9 +139,14 @@ def _wire() -> Column:
     return F.struct(*(F.col(name).alias(wire) for wire, name, _ in WIRE_FIELDS))
 
 
+def message_text() -> Column:
+    """A trade as wire JSON text."""
+    return F.to_json(_wire(), {"ignoreNullFields": "false"})
+
+
 def publish_trades(trades: DataFrame) -> DataFrame:
     """Trades as wire JSON text in ``value``, without a key."""
-    return trades.select(F.to_json(_wire(), {"ignoreNullFields": "false"}).alias("value"))
+    return trades.select(message_text().alias("value"))
 
 
 def envelope_text() -> Column:

@@ -24,6 +24,7 @@ from tradeflow.streaming.pipeline import (
     run_pipeline,
     start_pipeline,
     start_publisher,
+    stream_bars,
 )
 from tradeflow.streaming.replay import FAR_FUTURE_MS, FLUSH, stream_session
 from tradeflow.streaming.state import WINDOW, BarProcessor
@@ -176,6 +177,27 @@ def test_state_can_be_read_and_moved(spark, config, tmp_path):
     assert same_rows(found.where(f"symbol IS NULL OR symbol <> '{FLUSH}'"), expected)
 
 
+def test_a_bar_closes_by_its_timer_when_its_symbol_falls_silent(spark, config, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "a", [trade(0), trade(1_000)], 1000)
+    put(folder, "b", [trade(30_000, symbol="BBB")], 2000)  # closes the window, not the bar
+    put(folder, "c", [trade(40_000, symbol="BBB")], 3000)
+    put(folder, "d", [trade(20 * MINUTE, symbol="BBB")], 4000)
+    put(folder, "e", [trade(20 * MINUTE + 1, symbol="BBB")], 5000)
+    session = configure(stream_session(spark), config)
+    result = f"{tmp_path}/bars"
+    (
+        stream_bars(to_silver(read_trades(session, config)))
+        .writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{result}/batch={n}"))
+        .start()
+        .awaitTermination()
+    )
+    found = {r.symbol: r.trade_count for r in spark.read.parquet(result).collect()}
+    assert found == {"AAA": 2, "BBB": 2}
+
+
 class FakeState:
     """The state of one key in memory, counting what is held in it."""
 
@@ -233,7 +255,7 @@ def test_a_long_backlog_of_one_symbol_is_held_in_the_state(monkeypatch):
         dict(zip(WINDOW.fieldNames(), (s, 1.0, 2.0, s / 5e6, 1, 1.0, 0.0, s, s, 1.5, 1.0, s + 1, 1.6), strict=True))
         for s in starts
     )
-    state.watermark = (n - 30) * 5_000  # half of the last bar is open
+    state.watermark = (n - 10) * 5_000  # the last bar is open
     found = [r for r in processor.handleInputRows(("A",), rows, state) if r.burst_start is None]
     assert len(found) == n // 60 and max(held) <= 20_000
     assert [r.window_start for r in found] == [k * 300_000_000 for k in range(len(found))]
@@ -242,8 +264,8 @@ def test_a_long_backlog_of_one_symbol_is_held_in_the_state(monkeypatch):
     assert found[-1].avg_vol_20 == sum(volumes[-20:]) / 20
     assert all(b.previous_time == a.last_time for a, b in zip(found, found[1:], strict=False))
     assert [len(v[0]) for v in state.bars.values()] == [n - n // 60 * 60]
-    state.watermark = n * 5_000
-    state.watermark += 300_000
+    assert state.timers == [(len(found) + 1) * 300_000]  # the end of the open bar
+    state.watermark = n * 5_000 + 300_000
     (last,) = processor.handleExpiredTimer(("A",), state, None)
     assert last.trade_count == n - n // 60 * 60 and not state.bars
 

@@ -112,7 +112,7 @@ class BarProcessor(StatefulProcessor):
             if bar in stored:
                 windows = [*map(tuple, self.open.getValue((bar,))[0]), *windows]
             self.open.updateValue((bar,), (windows,))
-        stored |= bars.keys()
+        stored.update(bars)
         bars.clear()
 
     def _close(
@@ -122,7 +122,7 @@ class BarProcessor(StatefulProcessor):
         closed = timerValues.getCurrentWatermarkInMs() * 1000 - self.bar
         recent, previous, timer = self.past.get() or ([], None, None)
         recent = list(recent)
-        for bar in sorted(b for b in stored | bars.keys() if b <= closed):
+        for bar in sorted(b for b in stored.union(bars) if b <= closed):
             windows = bars.pop(bar, [])
             if bar in stored:
                 windows += map(tuple, self.open.getValue((bar,))[0])

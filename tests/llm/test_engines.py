@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from tradeflow.llm import gru, toxicity
 from tradeflow.llm.bpe import Codec
 from tradeflow.llm.lines import winnow
-from tradeflow.llm.mixing import apportion, pfair_slots
+from tradeflow.llm.mixing import pfair_slots, whole_weights
 from tradeflow.llm.passages import compact_windows, matched_passage, shingle_sequences
 from tradeflow.llm.setsketch import likely_jaccard, merge_registers, registers
 from tradeflow.llm.shingles import (
@@ -143,19 +143,57 @@ def test_cross_polytope_recall_at_the_threshold():
         assert met.mean() > 0.99
 
 
-def test_pfair_schedule_is_never_a_block_off():
-    shares = dict(enumerate(apportion({"a": 5, "b": 3, "c": 1, "d": 0.01}, 64).values()))
-    assert sum(shares.values()) == 64 and min(shares.values()) >= 1
-    done = dict.fromkeys(shares, 0)
-    for s, j, release, deadline, slot in pfair_slots(shares):
-        assert j == done[s] and release <= slot < deadline
-        done[s] += 1
-        for k, a in shares.items():
-            assert abs(done[k] - a * (slot + 1) / 64) < 1
-    assert done == shares
-    assert apportion({}, 8) == {}
-    with pytest.raises(ValueError):
-        apportion({"a": 0}, 8)
+@pytest.mark.parametrize(
+    "blocks, weights",
+    [
+        ([700, 700, 600], [1, 1, 1]),
+        ([20_000, 1300, 5], [5000, 300, 1]),
+        ([60, 0, 7, 90, 1], [0.3, 2.0, 1e-3, 7.7, 5.0]),
+        ([6700, 6700, 6600], [1 / 3, 1 / 3, 1 / 3]),
+        ([5], [2.5]),
+        ([], []),
+    ],
+)
+def test_no_source_is_a_block_off_its_weight(blocks, weights):
+    whole = whole_weights(weights)
+    left, slot = list(blocks), 0
+    done = [0] * len(blocks)
+    schedule = iter(pfair_slots(blocks, whole))
+    while any(left):  # a stretch: until a source runs out
+        active = [i for i, n in enumerate(left) if n]
+        total, given = sum(whole[i] for i in active), dict.fromkeys(active, 0)
+        t = 0
+        while all(given[i] < left[i] for i in active):
+            i, block, release, deadline, at = next(schedule)
+            assert block == done[i] + given[i] and at == slot + t and release <= at < deadline
+            assert release == slot + given[i] * total // whole[i]
+            given[i] += 1
+            t += 1
+            assert all(abs(given[k] * total - t * whole[k]) < total for k in active)
+        slot += t
+        for i, n in given.items():
+            left[i] -= n
+            done[i] += n
+    assert next(schedule, None) is None
+
+
+def test_schedule_equals_brute_force():
+    """Every slot by a search of all sources for the earliest deadline among those released."""
+    blocks, weights = [40, 25, 60, 9], whole_weights([0.5, 0.25, 1.1, 0.05])
+    left, done, found, start = list(blocks), [0] * 4, [], 0
+    while any(left):
+        active, given, t = [i for i in range(4) if left[i]], [0] * 4, 0
+        total = sum(weights[i] for i in active)
+        while all(given[i] < left[i] for i in active):
+            released = [i for i in active if given[i] * total // weights[i] <= t]
+            i = min(released, key=lambda i: (-(-(given[i] + 1) * total // weights[i]), i))
+            found.append((i, done[i] + given[i], start + t))
+            given[i] += 1
+            t += 1
+        start += t
+        left = [n - g for n, g in zip(left, given, strict=True)]
+        done = [n + g for n, g in zip(done, given, strict=True)]
+    assert [(i, j, s) for i, j, _, _, s in pfair_slots(blocks, weights)] == found
 
 
 def test_gradients_of_the_network():

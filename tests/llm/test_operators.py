@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from compare import differences
+from tradeflow.llm import common
 from tradeflow.llm import queries as q
 from tradeflow.llm.bpe import decode_ids, encode_texts
 from tradeflow.llm.common import components
@@ -137,7 +138,7 @@ def test_mix_keeps_targets_within_a_block(spark):
         .alias("source"),
     )
     weights = {"big": 5.0, "mid": 3.0, "low": 2.0}
-    mixed = mix_sources(docs, weights, block_rows=10, period=20, pieces=8).toPandas()
+    mixed = mix_sources(docs, weights, block_rows=10, pieces=8).toPandas()
     mixed = mixed.sort_values("mix_position")
     assert len(mixed) == mixed["mix_position"].nunique() == 4000
     assert ((mixed.mix_release <= mixed.mix_slot) & (mixed.mix_slot < mixed.mix_deadline)).all()
@@ -408,6 +409,42 @@ def test_pipeline_rows_stand_in_the_order_of_the_mix(spark, monkeypatch):
     assert rows == due.select("doc_id", "mix_slot", "mix_position").collect()
 
 
+def test_stages_on_odd_rows_and_clashing_names(spark):
+    """Nulls, repeated rows, empty and long texts; every column comes back as it was."""
+    names = [*CLASHING, "toxicity_score", "mix_slot", "mix_position", "text_sha256", "n_shingles"]
+    names = sorted({n.lower() for n in names} - {"source"})
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").withColumns(
+        {**{c: F.lit("own") for c in names}, "source": F.lit(None).cast("string"), "lang": F.lit("x")}
+    )
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert labels.count()
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, SF)
+        assert len({c.lower() for c in result.columns}) == len(result.columns)
+        rows = result.collect()
+        assert len(rows) <= len(ODD) and len(rows) > 0
+        if name != "encoding":
+            assert result.columns[: len(docs.columns)] == docs.columns
+            assert all(r[c] == "own" for r in rows for c in names)
+        if name in ("mixing", "encoding"):
+            assert len(rows) == len(ODD)
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.collect() == [] and empty.columns == result.columns
+    # Along the chain the place is the mix's, not the documents' own.
+    mixed = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, SF)
+    last = dict(corpus_pipeline.STAGES)["encoding"](spark, mixed, SF).collect()
+    assert sorted(r["mix_position"] for r in last) == sorted(r["_mix_position"] for r in mixed.collect())
+
+
+def test_pipeline_leaves_its_last_table_only(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("exact_dedup", corpus_pipeline.without_exact_copies),
+                                                    *corpus_pipeline.STAGES[3:]])
+    monkeypatch.setattr(common, "scratch_folder", lambda *_: str(tmp_path / "run"))
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+    names = [p.name for p in (tmp_path / "run").iterdir()]
+    assert [n for n in names if not n.startswith(".")] == ["encoding"]
+
+
 def test_held_out_is_the_remainder(spark):
     rows = spark.range(50).select("id", held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in rows)

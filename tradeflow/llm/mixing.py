@@ -3,78 +3,86 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
-from math import ceil, floor
+from itertools import islice
+from math import lcm
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import fresh, ship
+from tradeflow.llm.common import checkpointed, fresh, ship
 
 # Production settings.
 BLOCK_ROWS = 16
-PERIOD = 1024
 PIECES = 1024
 TEMPERATURE = 0.7
+ROWS = 50_000
 
-# Schedules of up to this many blocks (under 16 MB) are broadcast, longer ones shuffled.
-BROADCAST_ROWS = 200_000
 
+def whole_weights(weights: Sequence[float]) -> list[int]:
+    """The weights as whole numbers in exactly the same proportions."""
+    exact = [Fraction(w) for w in weights]
+    common = lcm(*(x.denominator for x in exact))
+    return [int(x * common) for x in exact]
 
-def apportion(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Whole blocks per period for every source, at least one each, by largest remainder."""
-    if not weights:
-        return {}
-    if min(weights.values()) <= 0:
-        raise ValueError("weights must be positive")
-    spare = max(period, 2 * len(weights)) - len(weights)
-    total = sum(weights.values())
-    exact = {k: spare * w / total for k, w in weights.items()}
-    shares = {k: 1 + floor(x) for k, x in exact.items()}
-    left = spare - sum(floor(x) for x in exact.values())
-    for k in sorted(exact, key=lambda k: (floor(exact[k]) - exact[k], k))[:left]:
-        shares[k] += 1
-    return shares
-
-
-def pfair_slots(shares: Mapping[int, int]) -> Iterator[tuple[int, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of one period.
-
-    A source with ``a`` of the ``n`` blocks has the weight a/n. Its block ``j`` may
-    run from slot floor(j n / a) and must run before slot ceil((j + 1) n / a). The
-    released block with the earliest deadline runs first; such a schedule meets
-    every deadline, so no source is ever a whole block ahead of or behind its part.
-    """
-    n = sum(shares.values())
-    waiting = sorted(
-        (floor(Fraction(j * n, a)), ceil(Fraction((j + 1) * n, a)), s, j)
-        for s, a in shares.items()
-        for j in range(a)
-    )
-    ready: list[tuple[int, int, int, int]] = []
-    k = 0
-    for slot in range(n):
-        while k < len(waiting) and waiting[k][0] <= slot:
-            release, deadline, s, j = waiting[k]
-            heapq.heappush(ready, (deadline, s, j, release))
-            k += 1
-        deadline, s, j, release = heapq.heappop(ready)
-        yield s, j, release, deadline, slot
-
-
-def _distinct_periods(counts: list[int], shares: list[int]) -> list[tuple[int, int]]:
-    """(first period, number of periods) of each run of periods with equal shares.
-
-    A source fills whole periods and then at most one partial one, so there are at
-    most two runs more for every source.
+
+def pfair_slots(
+    blocks: Sequence[int], weights: Sequence[int]
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of all blocks, in the order of their slots.
+
+    With ``s`` the total weight of the sources that are left, block ``j`` of a source of
+    weight ``w`` may run from slot floor(j s / w) and must run before slot
+    ceil((j + 1) s / w), counted from the start of the stretch; the released block with
+    the earliest deadline runs first. Such a schedule meets every deadline, so no source
+    is ever a whole block ahead of or behind its weight; as all numbers are whole,
+    nothing drifts, however long the stretch. It ends when a source runs out; the next
+    one shares its part among the others.
     """
-    edges = {0}
-    for n, a in zip(counts, shares, strict=True):
-        edges |= {n // a, -(-n // a)}
-    edges = sorted(edges)
-    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+    left = {i: n for i, n in enumerate(blocks) if n}
+    done = dict.fromkeys(left, 0)
+    start = 0
+    while left:
+        total = sum(weights[i] for i in left)
+        ready = [(-(-total // weights[i]), i, 0, 0) for i in left]
+        heapq.heapify(ready)
+        waiting: list[tuple[int, int, int, int]] = []
+        given = dict.fromkeys(left, 0)
+        slot = 0
+        while True:
+            while waiting and waiting[0][0] <= slot:
+                release, deadline, i, j = heapq.heappop(waiting)
+                heapq.heappush(ready, (deadline, i, j, release))
+            deadline, i, j, release = heapq.heappop(ready)
+            yield i, done[i] + j, start + release, start + deadline, start + slot
+            slot += 1
+            j += 1
+            given[i] = j
+            if j == left[i]:
+                break
+            following = (j * total // weights[i], -(-(j + 1) * total // weights[i]), i, j)
+            heapq.heappush(waiting, following)
+        for i, n in given.items():
+            done[i] += n
+            left[i] -= n
+        left = {i: n for i, n in left.items() if n}
+        start += slot
+
+
+def _scheduled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All slots, made in one task that holds a row for each source and hands on slices."""
+    held = list(batches)
+    if not held:
+        return
+    sources = pd.concat(held).sort_values("src")
+    numbers = sources["src"].tolist()
+    weights = whole_weights(sources["weight"].tolist())
+    slots = pfair_slots(sources["blocks"].tolist(), weights)
+    while rows := list(islice(slots, ROWS)):
+        made = pd.DataFrame(rows, columns=["src", "block", "release", "deadline", "slot"])
+        yield made.assign(src=made["src"].map(dict(enumerate(numbers))))
 
 
 def mix_sources(
@@ -83,41 +91,40 @@ def mix_sources(
     source_column: str = "source",
     id_column: str = "doc_id",
     block_rows: int = BLOCK_ROWS,
-    period: int = PERIOD,
     pieces: int = PIECES,
     temperature: float = TEMPERATURE,
 ) -> DataFrame:
     """``docs`` with (mix_block, mix_release, mix_deadline, mix_slot, mix_position).
 
-    Every row stays, once. Each source is put into a hashed order and cut into
-    blocks of ``block_rows`` rows; time is cut into periods in which each source has
-    a whole number of blocks in proportion to its weight, and ``pfair_slots`` orders
-    the blocks of a period. A source that has run out leaves its part to the others,
-    in proportion to their weights: its last period holds what it has left.
-    ``mix_block`` counts the blocks of a source; release, deadline and slot count
-    blocks of all sources from the start; ``mix_position`` orders the rows.
+    Every row stays, once. Each source is put into a hashed order and cut into blocks of
+    ``block_rows`` rows. Until a source runs out, the blocks of all are scheduled by
+    windows counted from the start, in whole numbers, so no source is ever a whole block
+    ahead of or behind its weight; then the others share its part in proportion to their
+    weights, counted from there. ``mix_block`` counts the blocks of a source; release,
+    deadline and slot count blocks of all sources from the start; ``mix_position`` orders
+    the rows.
 
     ``weights`` names a positive weight for each source; sources without one get the
     smallest. By default a source weighs its number of rows to the power of
     ``temperature``: 1 keeps the corpus's own mix, 0 treats all sources alike.
 
-    The driver sees one count per source. Periods are equal but for those in which
-    a source runs out, so their schedules number at most two per source and one
-    task each makes them. Rows are numbered in hashed pieces of each source; a hot
-    source is no hot task. A null source is a source of its own. Rows that agree in
-    id and all hashed columns are interchangeable. Columns of ``docs`` with the names
-    of results are replaced. An empty table gives an empty result.
+    A schedule of this kind has a state, so one task makes the slots of all blocks, two
+    microseconds each; it holds one row for each source. Only blocks pass it, not rows:
+    with a thousand million blocks, raise ``block_rows``. Rows find the slot of their
+    block by a join on source and block; nothing passes through the driver. Rows are numbered in hashed pieces of each
+    source; a hot source is no hot task. A null source is a source of its own. Rows that
+    agree in id and all hashed columns are interchangeable. A result takes a leading
+    underscore where ``docs`` has a column of its name. An empty table gives an empty
+    result.
     """
-    results = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position"]
-    docs = docs.drop(*[c for c in results if c not in (source_column, id_column)])
+    results = fresh(docs, "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
+    if weights is not None and min(weights.values(), default=1.0) <= 0:
+        raise ValueError("weights must be positive")
     spark = docs.sparkSession
     ship(spark)
-    key, piece, n, start, block, run, inner, rank, tie = fresh(
-        docs, "key", "piece", "n", "start", "block", "run", "inner", "rank", "tie"
-    )
-    src, share, p_run, p_src, p_inner, release, deadline, slot, base_, size, first_ = fresh(
-        docs, "src", "share", "p_run", "p_src", "p_inner", "release", "deadline", "slot", "base",
-        "size", "first",
+    key, piece, n, start, block, rank, tie, src, p_src, p_block, release, deadline, slot = fresh(
+        docs, "key", "piece", "n", "start", "block", "rank", "tie", "src", "p_src", "p_block",
+        "release", "deadline", "slot",
     )
     others = [c for c in docs.columns if c not in (id_column, source_column)]
     keyed = docs.withColumns(
@@ -131,91 +138,47 @@ def mix_sources(
     before = Window.partitionBy(key).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.withColumn(start, F.coalesce(F.sum(n).over(before), F.lit(0))).drop(n)
 
-    sizes = {r[0]: r[1] for r in counts.groupBy(key).agg(F.sum(n)).orderBy(key).collect()}
+    sources = counts.groupBy(key).agg(F.sum(n).alias(n))
     if weights is None:
-        named = {k: v**temperature for k, v in sizes.items()}
+        sources = sources.withColumn("weight", F.pow(F.col(n).cast("double"), F.lit(temperature)))
     else:
-        given = {"n" if k is None else f"s{k}": float(w) for k, w in weights.items()}
-        named = {k: given.get(k, min(given.values(), default=1.0)) for k in sizes}
-    shares = apportion(named, period)
-    names = sorted(sizes)
-    blocks = [-(-sizes[k] // block_rows) for k in names]
-    per = [shares[k] for k in names]
-
-    runs, base = [], 0
-    for first, length in _distinct_periods(blocks, per):
-        parts = [max(0, min(a, b - first * a)) for a, b in zip(per, blocks, strict=True)]
-        runs.append((first, length, base, sum(parts), parts))
-        base += length * sum(parts)
-
-    def schedule(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples():
-                parts = {s: int(a) for s, a in enumerate(row.parts) if a}
-                made = pd.DataFrame(
-                    list(pfair_slots(parts)),
-                    columns=["src", "inner", "release", "deadline", "slot"],
-                )
-                yield made.assign(run=row.run, base=row.base, size=row.size, first=row.first)[
-                    ["run", "src", "inner", "release", "deadline", "slot", "base", "size", "first"]
-                ]
-
-    source_rows = [(k, s, per[s]) for s, k in enumerate(names)]
-    sources = spark.createDataFrame(source_rows, f"{key} string, {src} int, {share} long")
-    run_rows = [(i, *r) for i, r in enumerate(runs)]
-    patterns = (
-        spark.createDataFrame(
-            run_rows, "run int, first long, length long, base long, size long, parts array<long>"
-        )
-        .repartition(max(1, len(runs)))
-        .mapInPandas(
-            schedule,
-            "run int, src int, inner long, release long, deadline long, slot long,"
-            " base long, size long, first long",
-        )
+        given = [("n" if k is None else f"s{k}", float(w)) for k, w in weights.items()]
+        named = spark.createDataFrame(given, f"`{key}` string, weight double")
+        least = min(weights.values(), default=1.0)
+        sources = sources.join(named, key, "left").fillna({"weight": float(least)})
+    # One task numbers the sources; they are few against their rows.
+    sources = checkpointed(
+        sources.withColumn(src, F.row_number().over(Window.orderBy(key)).cast("long"))
+        .withColumn("blocks", F.ceil(F.col(n) / block_rows))
+        .select(key, F.col(src), "weight", "blocks")
+    )
+    placed = (
+        sources.select(F.col(src).alias("src"), "weight", "blocks")
+        .coalesce(1)
+        .mapInPandas(_scheduled, "src long, block long, release long, deadline long, slot long")
+        .toDF(p_src, p_block, release, deadline, slot)
     )
-    # The run of a period: the last one that starts at or before it.
-    run_of = F.lit(0)
-    for i, r in enumerate(runs):
-        run_of = F.when(F.col(start) >= r[0], F.lit(i)).otherwise(run_of)
-
     inside = Window.partitionBy(key, piece).orderBy(rank, id_column, tie)
-    ranked = (
+    numbered = (
         keyed.withColumn(tie, F.xxhash64(*others) if others else F.lit(0))
         .withColumn(n, F.row_number().over(inside) - 1)
         .join(starts, [key, piece])
         .withColumn(n, F.col(n) + F.col(start))
-        .join(F.broadcast(sources), key)  # one row per source
+        .join(sources.select(key, src), key)
         .withColumn(block, F.floor(F.col(n) / block_rows))
-        .withColumn(start, F.floor(F.col(block) / F.col(share)))
-        .withColumn(inner, F.col(block) % F.col(share))
-        .withColumn(run, run_of.cast("int"))
-    )
-    placed = patterns.toDF(
-        p_run, p_src, p_inner, release, deadline, slot, base_, size, first_
     )
-    if sum(r[3] for r in runs) <= BROADCAST_ROWS:
-        placed = F.broadcast(placed)
-    shift = F.col(base_) + (F.col(start) - F.col(first_)) * F.col(size)
-    mixed = ranked.join(
-        placed,
-        (F.col(run) == F.col(p_run))
-        & (F.col(src) == F.col(p_src))
-        & (F.col(inner) == F.col(p_inner)),
+    mixed = numbered.join(
+        placed, (F.col(src) == F.col(p_src)) & (F.col(block) == F.col(p_block))
     )
+    position = F.col(slot) * block_rows + F.col(n) % block_rows
+    columns = (F.col(block), F.col(release), F.col(deadline), F.col(slot), position)
     return mixed.select(
         *docs.columns,
-        F.col(block).cast("long").alias("mix_block"),
-        (shift + F.col(release)).cast("long").alias("mix_release"),
-        (shift + F.col(deadline)).cast("long").alias("mix_deadline"),
-        (shift + F.col(slot)).cast("long").alias("mix_slot"),
-        ((shift + F.col(slot)) * block_rows + F.col(n) % block_rows)
-        .cast("long")
-        .alias("mix_position"),
+        *(c.cast("long").alias(name) for c, name in zip(columns, results, strict=True)),
     )
 
 
 def in_mixed_order(docs: DataFrame, **settings) -> DataFrame:
     """The rows and columns of ``docs``, sorted by their position in the mix."""
-    mixed = mix_sources(docs, **settings)
-    return mixed.orderBy("mix_position").select(docs.columns)
+    position = fresh(docs, "mix_position")[0]
+    return mix_sources(docs, **settings).orderBy(position).select(docs.columns)

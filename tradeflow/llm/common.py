@@ -8,6 +8,7 @@ import functools
 import os
 import shutil
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,6 +128,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return result
 
 
+def shielded(docs: DataFrame, results: Sequence[str], work, **columns: str) -> DataFrame:
+    """The rows that ``work`` keeps of ``docs``, with the columns of ``docs`` as they were.
+
+    Columns named like one of the ``results`` that ``work`` adds stand aside meanwhile;
+    ``columns`` are the names that ``work`` is told to read, which stay.
+    """
+    clashing = [c for c in docs.columns if c.lower() in results and c not in columns.values()]
+    aside = dict(zip(clashing, fresh(docs, *(f"own_{c}" for c in clashing)), strict=True))
+    found = work(docs.withColumnsRenamed(aside))
+    return found.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
+
+
 def order_key(hashed: Column) -> Column:
     """The hash as a number from 0 to 2^64 - 1, for sums that cannot overflow."""
     return hashed.cast("decimal(38,0)")

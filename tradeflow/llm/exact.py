@@ -8,9 +8,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import checkpointed, fresh
+from tradeflow.llm.common import checkpointed, fresh, shielded
 
 # The characters that do not count, [\x20\x09-\x0D].
+RESULTS = ["keep_id", "group_size", "kept", "text_sha256"]
 BLANK = "[\\x20\\x09-\\x0D]+"
 
 
@@ -43,8 +44,7 @@ def mark_exact_copies(
     texts cannot be told apart: they stay or go together. Columns of ``docs`` named
     like a result are replaced. An empty table gives an empty result.
     """
-    results = ["keep_id", "group_size", "kept", "text_sha256"]
-    docs = docs.drop(*[c for c in results if c not in (id_column, text_column)])
+    docs = docs.drop(*[c for c in RESULTS if c not in (id_column, text_column)])
     digest, text, length, hash_, texts, size, keeper, best, own, of_text, sha = fresh(
         docs, "digest", "plain", "length", "hash", "texts", "size", "keeper", "best", "own",
         "of_text", "sha",
@@ -92,5 +92,7 @@ def mark_exact_copies(
 
 
 def drop_exact_copies(docs: DataFrame, **columns) -> DataFrame:
-    """``docs`` without the rows that an equal text replaces."""
-    return mark_exact_copies(docs, **columns).filter("kept").select(docs.columns)
+    """``docs`` without the rows that an equal text replaces; all columns keep their values."""
+    return shielded(
+        docs, RESULTS, lambda d: mark_exact_copies(d, **columns).filter("kept"), **columns
+    )

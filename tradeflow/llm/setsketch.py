@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.llm.common import checkpointed, components, fresh, ship, tidy
+from tradeflow.llm.common import checkpointed, components, fresh, shielded, ship, tidy
 from tradeflow.llm.merges import slices
 from tradeflow.llm.shingles import GOLDEN, mix, shingle_sets
 
 # Production settings.
+RESULTS = ["n_shingles", "component_id", "kept"]
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
 REGISTERS = 256
@@ -312,8 +313,7 @@ def link_near_copies(
     kept. Rows of one id are one document in links. Ids must be integers. Columns of
     ``docs`` with the names of results are replaced.
     """
-    results = ["n_shingles", "component_id", "kept"]
-    docs = docs.drop(*[c for c in results if c not in (id_column, text_column)])
+    docs = docs.drop(*[c for c in RESULTS if c not in (id_column, text_column)])
     ship(docs.sparkSession)
     least = percent / 100 - MARGIN
     texts = docs.select(
@@ -437,5 +437,9 @@ def link_near_copies(
 
 
 def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of each group of near copies."""
-    return link_near_copies(docs, **settings).filter("kept").select(docs.columns)
+    """``docs`` with one document, that of the smallest id, of each group of near copies.
+
+    All columns keep their values.
+    """
+    named = {k: v for k, v in settings.items() if k.endswith("_column")}
+    return shielded(docs, RESULTS, lambda d: link_near_copies(d, **settings).filter("kept"), **named)

@@ -46,7 +46,7 @@ def test_codec_equals_the_library():
     expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     for (ids, decoded), want in zip(codec.encode_batch([*texts, None]), [*expected, []], strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == want
-        assert decoded == library.decode(want, skip_special_tokens=False)
+        assert decoded.decode() == library.decode(want, skip_special_tokens=False)
     assert codec.exact_words > 0  # some words fail the check of their pairs
 
 

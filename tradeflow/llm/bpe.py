@@ -8,20 +8,19 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm.common import ship, tidy
-from tradeflow.llm.merges import Merges, TwoAges, has_unknown, loaded, plain_pieces, slices
+from tradeflow.llm.merges import Merges, Remembered, has_unknown, loaded, plain_pieces, slices
 
-CACHED_CHARACTERS = 64
-CACHE = 60_000
+# Words that a worker remembers: 300 bytes each.
+REMEMBERED = 100_000
+SLICE = 1_500_000
 PAIRS = 2_000_000
 
-# Characters that str.split takes for white space and the vocabulary's
-# pattern does not.
-SEPARATORS = "\x1c\x1d\x1e\x1f"
-
 
 class Codec:
     """Encodes and decodes as the tokenizers library does for a file with word ends.
@@ -53,7 +52,7 @@ class Codec:
             self.reach[start] = max(self.reach.get(start, 0), len(piece))
         self.pair_codes = np.empty(0, np.int64)
         self.pair_fits = np.empty(0, bool)
-        self.words = TwoAges(CACHE)
+        self.words = Remembered(REMEMBERED)
         self.exact_words = 0
 
     def symbols_of(self, token: int) -> list[int]:
@@ -131,55 +130,77 @@ class Codec:
             text = text.replace("Σ", "σ")  # no special form at the end of a word
         return text.lower()
 
-    def _chunks(self, text: str) -> list[str]:
-        """Parts of a normalised text in which pieces can be looked for alone."""
-        if any(c in text for c in SEPARATORS):
-            return [text]
-        return text.split()
-
-    def encode_batch(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, str]]:
+    def encode_batch(self, texts: Iterable[str | None]) -> Iterator[tuple[bytes, bytes]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of each text."""
-        for part in slices(t or "" for t in texts):
+        for part in slices((t or "" for t in texts), SLICE):
             yield from self._encode_slice(part)
 
-    def _encode_slice(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        split = [
-            [
-                (special, [p] if special else self._chunks(self.normalised(p)))
-                for special, p in self.merges.segments(t)
-            ]
-            for t in texts
-        ]
-        words = self.words
-        known: dict[str, tuple[bytes, str]] = {}
-        new = []
-        for chunk in {c for parts in split for special, cs in parts if not special for c in cs}:
-            entry = words.find(chunk)
-            if entry is None:
-                new.append(chunk)
-            else:
-                known[chunk] = entry
-        pieces = [
-            [p for p in plain if p] if (plain := plain_pieces(c)) else self.merges.pieces(c)
-            for c in new
+    def _encode_slice(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Texts are cut at blanks and the distinct parts numbered in Arrow; what stands
+        together in a text then stands together in memory and is copied out at once.
+
+        Special strings part a text, and stand for their token.
+        """
+        rows, owner, special = [], [], {}
+        for i, text in enumerate(texts):
+            for is_special, part in self.merges.segments(text):
+                if is_special:
+                    special[len(rows)] = part
+                rows.append("" if is_special else self.normalised(part))
+                owner.append(i)
+        numbered = pc.ascii_split_whitespace(pa.array(rows, pa.large_string()))
+        at = numbered.offsets.to_numpy()
+        values = numbered.flatten().dictionary_encode()
+        order = values.indices.to_numpy().astype(np.int64)
+        chunks = values.dictionary.to_pylist()
+        encoded = self._encode_chunks(chunks)
+        for row, name in special.items():
+            # The empty part of its row stands for the special string.
+            order[at[row]] = len(encoded)
+            encoded.append((self.merges.special[name].to_bytes(4, "little"), f"{name} ".encode()))
+        columns = []
+        for k in (0, 1):
+            taken = pa.array([e[k] for e in encoded], pa.large_binary()).take(pa.array(order))
+            _, cuts, data = taken.buffers()
+            columns.append((np.frombuffer(cuts, np.int64), memoryview(data or b"").cast("B")))
+        stops = at[np.searchsorted(owner, np.arange(len(texts)), side="right")]
+        start = 0
+        (ids_at, ids), (text_at, decoded) = columns
+        for stop in stops.tolist():
+            yield (
+                bytes(ids[ids_at[start] : ids_at[stop]]),
+                bytes(decoded[text_at[start] : text_at[stop]]).removesuffix(b" "),
+            )
+            start = stop
+
+    def _encode_chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids, and decoded text with a space behind each token, of parts without blanks.
+
+        Words are remembered; parts of several words are joined anew.
+        """
+        known = self.words
+        parts = [
+            [c]
+            if c in known
+            else [p for p in plain if p]
+            if (plain := plain_pieces(c))
+            else self.merges.pieces(c)
+            for c in chunks
         ]
-        encoded = iter(self.encode_words([p for ps in pieces for p in ps]))
-        for chunk, ps in zip(new, pieces, strict=True):
-            ids = [t for _ in ps for t in next(encoded)]
-            entry = (np.array(ids, "<u4").tobytes(), self.decode(ids))
-            known[chunk] = entry
-            if len(chunk) <= CACHED_CHARACTERS:
-                words.put(chunk, entry)
+        new = list(known.ask({word for found in parts for word in found}))
+        names = self.merges.names
+        for word, ids in zip(new, self.encode_words(new), strict=True):
+            text = "".join([f"{names[i]} " for i in ids])
+            known[word] = (np.array(ids, "<u4").tobytes(), text.encode())
         result = []
-        for parts in split:
-            found = [
-                (np.array([self.merges.special[cs[0]]], "<u4").tobytes(), cs[0])
-                if special
-                else known[c]
-                for special, cs in parts
-                for c in (cs if not special else cs[:1])
-            ]
-            result.append((b"".join(e[0] for e in found), " ".join(e[1] for e in found if e[0])))
+        for found in parts:
+            entries = [known[word] for word in found]
+            result.append(
+                entries[0]
+                if len(entries) == 1
+                else (b"".join([e[0] for e in entries]), b"".join([e[1] for e in entries]))
+            )
+        known.shrink()
         return result
 
     def decode(self, ids: Sequence[int]) -> str:
@@ -193,7 +214,11 @@ def _sha256(data: bytes) -> str:
 
 
 def encode_texts(
-    docs: DataFrame, text: Column, tokenizer_path: str, with_ids: bool = True
+    docs: DataFrame,
+    text: Column,
+    tokenizer_path: str,
+    with_ids: bool = True,
+    remembered: int = REMEMBERED,
 ) -> Column:
     """A struct column (n_tokens, ids, ids_sha256, decoded_sha256) of ``text``.
 
@@ -201,8 +226,8 @@ def encode_texts(
     unsigned 32-bit integers and ``decoded_sha256`` the text they decode to, in UTF-8.
     Without ``with_ids`` the ids stay with the worker. Null counts as empty and has no
     tokens. Special strings in a text become their special token. ``tokenizer_path``
-    must exist on every worker. Texts of any length are encoded whole; other columns
-    never leave the JVM.
+    must exist on every worker, which keeps the encodings of ``remembered`` words. Texts
+    of any length are encoded whole; other columns never leave the JVM.
     """
     ship(docs.sparkSession)
     ids = "ids array<int>, " if with_ids else ""
@@ -211,9 +236,10 @@ def encode_texts(
     @tidy
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = loaded(Codec, tokenizer_path)
+        codec.words.limit = remembered
         for batch in batches:
             rows = [
-                (b, _sha256(b), _sha256(d.encode("utf-8", "surrogatepass")))
+                (b, _sha256(b), _sha256(d))
                 for b, d in codec.encode_batch(batch)
             ]
             columns = {

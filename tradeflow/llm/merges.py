@@ -188,6 +188,29 @@ class TwoAges(dict):
         self[key] = value
 
 
+class Remembered(dict):
+    """Encodings by text. When there are too many, those not asked for again go."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
+        self.again: set[str] = set()
+
+    def ask(self, names: set[str]) -> set[str]:
+        """The names that are not known; the others are noted as asked for again."""
+        new = names - self.keys()
+        self.again |= names - new
+        return new
+
+    def shrink(self) -> None:
+        if len(self) > self.limit:
+            kept = {k: self[k] for k in self.again}
+            self.clear()
+            if len(kept) <= self.limit // 2:
+                self.update(kept)
+            self.again = set()
+
+
 _loaded: dict = {}
 
 

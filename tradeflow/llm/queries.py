@@ -80,7 +80,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text they decode to."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    tokens = encode_texts(docs, F.col("text"), WORD_FILE, with_ids=False)
+    tokens = encode_texts(docs, F.col("text"), WORD_FILE, with_ids=False, remembered=400_000)
     return docs.select("doc_id", tokens.alias("t")).select(
         "doc_id", "t.n_tokens", "t.ids_sha256", "t.decoded_sha256"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeflow.llm.common import ship, tidy
-from tradeflow.llm.merges import has_unknown, loaded, plain_pieces
+from tradeflow.llm.merges import Remembered, has_unknown, loaded, plain_pieces
 
 MEMORY = "400MB"
 REMEMBERED = 400_000
@@ -265,35 +265,13 @@ class Splitter:
         return [text[m.start() : m.end()] for m in self.pattern.finditer(known)]
 
 
-class Remembered(dict):
-    """Encodings by text. When there are too many, those not asked for again go."""
-
-    def __init__(self):
-        super().__init__()
-        self.again: set[str] = set()
-
-    def ask(self, names: set[str]) -> set[str]:
-        """The names that are not known; the others are noted as asked for again."""
-        new = names - self.keys()
-        self.again |= names - new
-        return new
-
-    def shrink(self) -> None:
-        if len(self) > REMEMBERED:
-            kept = {k: self[k] for k in self.again}
-            self.clear()
-            if len(kept) <= REMEMBERED // 2:
-                self.update(kept)
-            self.again = set()
-
-
 class RankedCodec:
     """Whole texts: splits, encodes each distinct piece once, and joins."""
 
     def __init__(self, path: str, pattern: str):
         self.merges = RankedMerges(path)
         self.split = Splitter(pattern)
-        self.known = Remembered()
+        self.known = Remembered(REMEMBERED)
 
     def _pieces(self, chunk: str) -> list[str]:
         """The pieces of a space and what follows it up to the next."""

@@ -2,11 +2,13 @@
 
 import dataclasses
 import json
+import math
 import os
 import shutil
 import subprocess
 import sys
 
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 
@@ -25,9 +27,10 @@ from tradeflow.streaming.pipeline import (
     start_pipeline,
     start_publisher,
     stream_bars,
+    stream_features,
 )
-from tradeflow.streaming.replay import FAR_FUTURE_MS, FLUSH, stream_session
-from tradeflow.streaming.state import WINDOW, BarProcessor
+from tradeflow.streaming.replay import FAR_FUTURE_MS, FLUSH, replay, stream_session
+from tradeflow.streaming.state import FEATURES, WINDOW, BarProcessor, BarSet, FramedBars
 
 MINUTE = 60_000
 FLUSH_ROW = trade(FAR_FUTURE_MS - BASE_MS, symbol=FLUSH)
@@ -270,6 +273,72 @@ def test_a_long_backlog_of_one_symbol_is_held_in_the_state(monkeypatch):
     assert last.trade_count == n - n // 60 * 60 and not state.bars
 
 
+def window(start, trade_id, number=1.0):
+    values = (start, 1.0, 2.0, number, 1, 1.0, 0.0, start, trade_id, 1.5, 1.0, start + 1, 1.6)
+    return dict(zip(WINDOW.fieldNames(), values, strict=True))
+
+
+def test_what_a_symbol_returns_leaves_in_bounded_frames():
+    """Output goes on while input is still to be read, in frames of at most ``rows`` rows."""
+    n, read = 5_000, []
+
+    def frames():
+        for begin in range(0, n, 100):
+            read.append(begin)
+            ids = [None if k % 2 else str(2**62 + k) for k in range(begin, begin + 100)]
+            starts = range(begin * 5_000_000, (begin + 100) * 5_000_000, 5_000_000)
+            yield pd.DataFrame([window(s, i) for s, i in zip(starts, ids, strict=True)])
+
+    state = FakeState()
+    state.watermark = n * 5_000 + 300_000
+    processor = FramedBars(BarProcessor(20, 300, 5, 60_000), rows=250)
+    processor.init(state)
+    found = processor.handleInputRows(("A",), frames(), state)
+    first = next(found)
+    assert len(read) <= 4 and list(first.columns) == FEATURES.fieldNames()
+    assert first.first_id.tolist() == [None if k % 2 else 2**62 + k for k in range(250)]
+    rest = list(found)
+    assert max(map(len, rest)) <= 250
+    bars_found = [r for f in rest for r in f.itertuples() if r.burst_start is None]
+    assert sum(len(f) for f in rest) + 250 == n + len(bars_found)
+    assert [r.window_start for r in bars_found] == [k * 300_000_000 for k in range(-(-n // 60))]
+
+
+def test_streamed_windows_keep_missing_ids_whole_numbers_and_nan(spark, tmp_path):
+    huge = "1.7E308"
+    rows = [trade(0, qty=huge, trade_id=2**62 + 1), trade(1, qty=huge, trade_id=2**62 + 2),
+            trade(6_000, qty="-" + huge, trade_id=3), trade(6_001, qty="-" + huge, trade_id=4),
+            trade(20_000, symbol="BBB", trade_id=2**62 + 5)]
+    rows.append(("trade", BASE_MS, "CCC", None, "7", "1", BASE_MS, False, True))
+    raw = trades(spark, rows)
+    raw.write.parquet(f"{tmp_path}/in")
+    features = replay(
+        spark,
+        lambda session: session.readStream.schema(raw.schema).parquet(f"{tmp_path}/in"),
+        lambda t: stream_features(to_silver(t)),
+    ).collect()
+    ids = {(r.symbol, r.window_start, r.burst_start is None): r.first_id for r in features}
+    assert sorted(map(str, ids.values())) == sorted(
+        [str(2**62 + 1)] * 2 + ["3"] + [str(2**62 + 5)] * 2 + ["None"] * 2
+    )
+    bar = {r.symbol: r for r in features if r.burst_start is None}["AAA"]
+    assert math.isnan(bar.volume) and math.isnan(bar.avg_vol_20) and bar.trade_count == 4
+    assert all(r.avg_vol_20 is None for r in features if r.burst_start is not None)
+    sums = sorted(r.volume for r in features if r.burst_start is not None and r.symbol == "AAA")
+    assert sums == [-math.inf, math.inf]
+
+
+def test_open_bars_are_a_set_of_bits():
+    starts = [k * k * 300 for k in range(-50, 2_000)]
+    found = BarSet(300, reversed(starts))
+    assert list(found) == sorted(set(starts)) and 300 in found and 600 not in found
+    for start in starts[100:]:
+        found.discard(start)
+    assert list(found) == sorted({s for s in starts[:100] if s not in set(starts[100:])})
+    several = BarSet(300, range(0, 300 * 1_000_000, 300))
+    assert len(several.masks) < 1_000  # a thousand bars a number
+
+
 def test_late_trades(spark, config, tmp_path):
     folder = tmp_path / "in"
     put(folder, "a", [trade(0), trade(10_000), trade(7_000)], 1000)  # 3 s late, same file

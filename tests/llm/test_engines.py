@@ -11,7 +11,7 @@ from tradeflow.llm import gru, toxicity
 from tradeflow.llm.bpe import Codec
 from tradeflow.llm.lines import winnow
 from tradeflow.llm.mixing import pfair_slots, whole_weights
-from tradeflow.llm.passages import compact_windows, matched_passage, shingle_sequences
+from tradeflow.llm.passages import Matcher, compact_windows, matched_passage, shingle_sequences
 from tradeflow.llm.setsketch import likely_jaccard, merge_registers, registers
 from tradeflow.llm.shingles import (
     GOLDEN,
@@ -91,6 +91,91 @@ def test_passage_with_an_edit_is_matched():
     assert matched_passage(early, late_runs[:40], (5, 0, 115, 35, 0, 39), 46, 0.8) is None
 
 
+def _plain_match(early, late, seed, shortest, similarity):
+    """The match of one seed by trying every place and every stretch."""
+    a, a_left, a_right, b, b_left, b_right = seed
+    back = min(2 * (a - a_left) + 8, b - b_left)
+    ahead = min(2 * (a_right - a) + 8, b_right - b)
+    ratio = 2 * similarity / (1 + similarity)
+    where = []
+    for t in range(-back, ahead + 1):
+        drift, due = max(abs(t) >> 2, 8), min(max(a + t, a_left), a_right)
+        near = range(max(a + t - drift, a_left), min(a + t + drift, a_right) + 1)
+        spots = [p for p in near if early[p] == late[b + t]]
+        where.append(min(spots, key=lambda p: (abs(p - due), p < due), default=None))
+    score = [-ratio / (1 - ratio) if p is None else 1.0 for p in where]
+    left, right = (np.cumsum([0, *x]) for x in (score[:back][::-1], score[back:]))
+    long = [
+        (down + up, -down, up)
+        for down in range(len(left))
+        for up in range(len(right))
+        if right[up] >= -left[down]
+    ]
+    for down, up in ((-max(long)[1], max(long)[2]), (left.argmax(), right.argmax())):
+        own = [t for t in range(-down, up) if where[back + t] is not None]
+        if down + up < shortest or not own:
+            continue
+        spots = [where[back + t] for t in own]
+        found = b + own[0], b + own[-1] + 1, min(spots), max(spots) + 1
+        x, y = {*late[found[0] : found[1]].tolist()}, {*early[found[2] : found[3]].tolist()}
+        if min(found[1] - found[0], found[3] - found[2]) < shortest:
+            continue
+        if len(x & y) >= similarity * len(x | y):
+            return found
+    return None
+
+
+def test_seeds_of_many_pairs_match_as_each_does_alone():
+    rng = np.random.default_rng(3)
+    early = [rng.integers(0, kinds, 260).astype(np.uint64) for kinds in (10**6, 10**6, 40, 900)]
+    late, of, seeds = [], [], []
+    for k in range(40):
+        text = k % len(early)
+        own = rng.integers(0, 10**6, 240).astype(np.uint64)
+        a, long = int(rng.integers(0, 150)), int(rng.integers(20, 100))
+        at = int(rng.integers(0, 140))
+        own[at : at + long] = early[text][a : a + long]
+        wrong = rng.integers(at, at + long, int(rng.integers(0, 8)))
+        own[wrong] = rng.integers(0, 10**6, len(wrong)).astype(np.uint64)
+        late.append(np.delete(own, wrong[: len(wrong) // 3]))
+        of.append(text)
+        for _ in range(6):
+            step = int(rng.integers(0, long))
+            ends = rng.integers(0, 120, 4).tolist()
+            b, place = at + step, a + step
+            seeds.append((
+                k, b, max(0, b - ends[0]), min(len(late[k]) - 1, b + ends[1]),
+                place, max(0, place - ends[2]), min(259, place + ends[3]),
+            ))
+    text, *_ = turned = np.array(seeds).T
+    turned = np.array(turned[1:]).T
+    matcher = Matcher(early, 46, 0.8)
+    matcher.follow(late, of, [None] * len(late))
+    able, *reach = matcher.able(text, turned)
+    found = {}
+    for number, *candidate in matcher.candidates(text[able], turned[able], *reach, held=700):
+        k = int(able[number])
+        found[k] = matcher.match(int(text[k]), turned[k].tolist(), *candidate)
+    plain = [
+        _plain_match(early[of[k]], late[k], (*seed[3:], *seed[:3]), 46, 0.8)
+        for k, *seed in seeds
+    ]
+    assert [found.get(k) for k in range(len(seeds))] == plain
+    assert 20 < sum(p is not None for p in plain) < len(plain) - 20
+    # What cannot match is hardly looked at further.
+    assert len(found) < 2 * sum(p is not None for p in plain)
+
+
+def test_seeds_within_a_text_whose_source_would_overlap_are_left():
+    text = np.tile(np.arange(30, dtype=np.uint64), 12)
+    matcher = Matcher([text], 46, 0.8)
+    matcher.follow([text[30:]], [0], [30])
+    seeds = np.array([(100, 0, 250, a, 10, 300) for a in (130, 120, 70)])  # 0, 10, 60 words apart
+    text = np.zeros(len(seeds), int)
+    able, *reach = matcher.able(text, seeds)
+    assert [int(able[k]) for k, *_ in matcher.candidates(text[able], seeds[able], *reach)] == [2]
+
+
 def test_winnowing_gives_every_window_its_minimum():
     h = np.array([5, 3, 3, 9, 1, 7, 7, 2], np.uint64)
     marks = winnow(h, 3)

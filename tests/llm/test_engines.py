@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -11,7 +12,14 @@ from tradeflow.llm import gru, toxicity
 from tradeflow.llm.bpe import Codec
 from tradeflow.llm.lines import winnow
 from tradeflow.llm.mixing import pfair_slots, whole_weights
-from tradeflow.llm.passages import Matcher, compact_windows, matched_passage, shingle_sequences
+from tradeflow.llm.passages import (
+    Matcher,
+    _contexts,
+    _windows,
+    compact_windows,
+    matched_passage,
+    shingle_sequences,
+)
 from tradeflow.llm.setsketch import likely_jaccard, merge_registers, registers
 from tradeflow.llm.shingles import (
     GOLDEN,
@@ -20,8 +28,10 @@ from tradeflow.llm.shingles import (
     PRIME_BASES,
     mix,
     shingle_sets,
+    short_hashed,
     spans_hashed,
     word_hashes,
+    words_of,
 )
 from tradeflow.llm.token_counts import TokenCounter
 from tradeflow.llm.vectors import bucket_codes
@@ -166,6 +176,67 @@ def test_seeds_of_many_pairs_match_as_each_does_alone():
     assert len(found) < 2 * sum(p is not None for p in plain)
 
 
+def test_words_hashed_one_by_one_have_the_hash_of_their_span():
+    rng = np.random.default_rng(21)
+    texts = ["", " \t", "a", "x" * 24 + " " + "x" * 25 + " y " + "Ü" * 300 + " z" * 40]
+    for size in (3, 40, 900):
+        texts.append("".join(rng.choice(list("aB \n\x00éβ"), size, p=[0.4, 0.2, 0.1, 0.05, 0.05, 0.1, 0.1])))
+    for some in (texts, texts[::-1], [], ["", ""]):
+        buffer, starts, stops, owner = words_of(some)
+        words = [w for t in some for w in t.encode().lower().split()]
+        assert [buffer[x:y].tobytes() for x, y in zip(starts, stops, strict=True)] == words
+        assert owner.tolist() == [k for k, t in enumerate(some) for _ in t.encode().split()]
+        hashes = short_hashed(buffer, starts, stops)
+        assert (hashes == spans_hashed(buffer, starts, stops)).all()
+
+
+def test_windows_and_contexts_of_a_document_are_one_row_a_key():
+    rng = np.random.default_rng(22)
+    some = [f"w{k}" for k in rng.integers(0, 300, 200)]
+    texts = [" ".join(["junk"] * 400), " ".join(some + some[:120]), "short", None]
+    batch = pa.RecordBatch.from_pydict({"doc": [5, 6, 7, 8], "text": texts})
+    found = pa.Table.from_batches(_windows(50, 3)(iter([batch]))).to_pylist()
+    keys = [(r["key"], r["doc"]) for r in found]
+    assert len(set(keys)) == len(keys)
+    own = {5: [], 6: []}
+    for r in found:
+        triples = np.frombuffer(r["windows"], np.int32).reshape(-1, 3)
+        assert (np.diff(triples[:, 0]) > 0).all()
+        own[r["doc"]] += [tuple(x) for x in triples.tolist()] if r["whole"] else []
+    for doc, text in ((5, texts[0]), (6, texts[1])):
+        runs, cuts = shingle_sequences([text])
+        values = mix(runs ^ GOLDEN)
+        want = set(zip(*(x.tolist() for x in compact_windows(values, cuts, 46)), strict=True))
+        assert len(own[doc]) == len(want) and set(own[doc]) == want
+    assert len([r for r in found if r["doc"] == 5]) == 3 and len(own[5]) == 351
+
+    whole = [[r["windows"] for r in found if r["doc"] == doc and r["whole"]] for doc in (5, 6)]
+    held = pa.RecordBatch.from_pydict(
+        {"doc": [5, 6], "windows": whole, "spans": [[0, 400], None], "text": texts[:2]},
+        schema=pa.schema([
+            ("doc", pa.int64()), ("windows", pa.list_(pa.binary())),
+            ("spans", pa.list_(pa.int32())), ("text", pa.string()),
+        ]),
+    )
+    rows = pa.Table.from_batches(_contexts(50, 3)(iter([held]))).to_pylist()
+    keys = [(r["one"], r["two"], r["doc"]) for r in rows]
+    assert len(set(keys)) == len(keys)
+    runs = {5: {}, 6: {}}
+    for doc, text in ((5, texts[0]), (6, texts[1])):
+        w = text.split()
+        for k in range(len(w) - 49):
+            runs[doc].setdefault(tuple(w[k : k + 50]), []).append(k)
+    for doc, plain in runs.items():
+        first = {}
+        for r in rows:
+            centre, left, right = np.frombuffer(r["first"], np.int32).tolist()
+            open_ = np.frombuffer(r["windows"], np.int32).reshape(-1, 3)
+            if r["doc"] == doc and (centre, right - left) == (left, 45):
+                first[centre] = (r["n"], open_[:, 0].tolist())
+        for at in plain.values():
+            assert first[at[0]] == (len(at), [] if doc == 5 else at)
+
+
 def test_seeds_within_a_text_whose_source_would_overlap_are_left():
     text = np.tile(np.arange(30, dtype=np.uint64), 12)
     matcher = Matcher([text], 46, 0.8)
